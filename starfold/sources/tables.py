@@ -34,6 +34,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def for_partitioned_write(df: DataFrame, *partition_cols: str) -> DataFrame:
+    """Group rows by output partition before a partitioned write.
+
+    ``rebalance`` lets AQE coalesce small tasks and split a hot partition
+    value (a year with a third of the rows) over several tasks, so the write
+    neither produces thousands of tiny files nor funnels one value into one
+    task as ``repartition(col)`` would.
+    """
+    return df.hint("rebalance", *partition_cols)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
     """Overwrite a Parquet table (only written partitions when ``dynamic``)."""
     w = df.write.mode("overwrite")
