@@ -72,9 +72,22 @@ CUSTOMER_SPEC = Scd2Spec(
 )
 
 
+_HANDLES: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def loader(spark: SparkSession, sf_dir: str) -> Loader:
+    """Table reader for one folder of read-only Parquet tables.
+
+    A table's DataFrame handle (file listing and footer schema) is created
+    once per session and reused, like a table registered in a catalogue;
+    each query still plans and scans the files itself.
+    """
+
     def load(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        key = (id(spark), sf_dir, name)
+        if key not in _HANDLES:
+            _HANDLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _HANDLES[key]
 
     return load
 
