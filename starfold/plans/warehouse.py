@@ -109,12 +109,14 @@ def line_events(T: Loader) -> DataFrame:
     """Silver line items: exact duplicates removed, enriched with the order's
     customer and date and the part's kind, medal class and grain hash.
 
-    Line items are hash-partitioned once on ``l_orderkey``: the exact
-    de-duplication (grouping on every column, a superset of the key) and the
-    join with orders both reuse that partitioning, so the largest table is
-    shuffled once for both steps.
+    The exact de-duplication is a partial aggregate over all columns (copies
+    collapse before the shuffle). Line items are deliberately *not*
+    pre-partitioned on ``l_orderkey`` to share that shuffle with the orders
+    join: an order holding a third of all lines would then sit in one task,
+    whereas the join below can be broadcast or have its skewed partitions
+    split by AQE.
     """
-    li = dedupe_exact(T("lineitem").repartition("l_orderkey"))
+    li = dedupe_exact(T("lineitem"))
     orders = T("orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), "o_orderdate"
     )
