@@ -533,6 +533,18 @@ def q_layer_reconciliation(T: Loader) -> DataFrame:
     return count(raw, "bronze").unionByName(count(silver, "silver")).unionByName(count(gold, "gold"))
 
 
+def q_pipeline_yearly_trend(T: Loader) -> DataFrame:
+    from starfold.plans.pipeline_demo import q_pipeline_yearly_trend as q
+
+    return q(T)
+
+
+def q_pipeline_dim_noc(T: Loader) -> DataFrame:
+    from starfold.plans.pipeline_demo import q_pipeline_dim_noc as q
+
+    return q(T)
+
+
 def q_bronze_roundtrip(T: Loader) -> DataFrame:
     """Customer written as a raw CSV batch, read back by batch and typed."""
     from starfold.plans.bronze_demo import customer_roundtrip
@@ -579,4 +591,6 @@ QUERIES: dict[str, Callable[[Loader], DataFrame]] = {
     "quality_gate_summary": q_quality_gate_summary,
     "layer_reconciliation": q_layer_reconciliation,
     "bronze_roundtrip": q_bronze_roundtrip,
+    "pipeline_yearly_trend": q_pipeline_yearly_trend,
+    "pipeline_dim_noc": q_pipeline_dim_noc,
 }

@@ -301,4 +301,27 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 UNION ALL SELECT 'silver', count(*) FROM (SELECT DISTINCT * FROM lineitem)
 UNION ALL SELECT 'gold', count(*) FROM (SELECT DISTINCT * FROM lineitem)""",
     "bronze_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "pipeline_yearly_trend": """WITH src AS (
+  SELECT DISTINCT c.c_custkey, c.c_name, c.c_mktsegment, l.l_linenumber, l.l_quantity, p.p_size,
+         c.c_nationkey, CAST(year(o.o_orderdate) AS INTEGER) AS year, p.p_type, p.p_brand,
+         """ + MEDAL + """ AS medal
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey
+)
+SELECT year, count(*) AS participations, count(medal) AS medals,
+       CAST(sum(CASE WHEN medal = 'Gold' THEN 1 ELSE 0 END) AS BIGINT) AS gold_medals,
+       CAST(sum(CASE WHEN medal = 'Silver' THEN 1 ELSE 0 END) AS BIGINT) AS silver_medals,
+       CAST(sum(CASE WHEN medal = 'Bronze' THEN 1 ELSE 0 END) AS BIGINT) AS bronze_medals,
+       round(CAST(count(medal) AS DOUBLE) / count(*), 4) AS medal_rate
+FROM src GROUP BY year""",
+    "pipeline_dim_noc": """WITH n AS (
+  SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey
+)
+SELECT 'N' || n_nationkey AS noc_code, n_name AS region, r_name AS notes, DATE '2026-06-20' AS valid_from,
+       CASE WHEN r_name = 'EUROPE' THEN DATE '2026-06-20' ELSE DATE '9999-12-31' END AS valid_to,
+       r_name <> 'EUROPE' AS is_current
+FROM n
+UNION ALL
+SELECT 'N' || n_nationkey, n_name || ' (EU)', r_name, DATE '2026-06-21', DATE '9999-12-31', TRUE
+FROM n WHERE r_name = 'EUROPE'""",
 }
