@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we agree to ship to every executor. A mapping or a tiny
-# dimension is far below it; anything above falls back to a shuffle join
-# (and AQE may still broadcast it from runtime statistics).
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Largest row count we agree to ship to every executor: about 100k narrow
+# rows stay near Spark's default 10 MB broadcast size. A code mapping or a
+# tiny dimension is far below it; anything above falls back to a shuffle
+# join (and AQE may still broadcast it from measured runtime sizes).
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
