@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,13 +39,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the platform (a distributed file system
-    path every executor can reach). Only when it is unset, as in local tests,
-    a scratch folder is created.
+    path every executor can reach); unset, it is an error. Only a session in
+    one process (``local[...]``), whose executors share the driver's disk,
+    gets a scratch folder of its own.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not conf:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="starfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
