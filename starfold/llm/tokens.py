@@ -51,11 +51,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Index ranges of about SLICE_BYTES."""
+def slices(texts: list[bytes], size_limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Index ranges of about ``size_limit`` bytes."""
     begin = size = 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > SLICE_BYTES:
+        if size and size + len(t) > size_limit:
             yield begin, i
             begin, size = i, 0
         size += len(t) + 1
@@ -68,15 +68,15 @@ class Words:
 
     ``buf`` holds the texts, each followed by a line feed; ``start`` and
     ``end`` are the byte offsets of each word, ``first`` the number of the
-    first word of each text (one more entry than texts).
+    first word of each text (one more entry than texts). ``blank`` says for
+    each byte whether it separates words.
     """
 
-    def __init__(self, texts: list[bytes], lower: bool = True):
+    def __init__(self, texts: list[bytes], lower: bool = True, blank: np.ndarray = BLANK):
         raw = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
         self.buf = LOWER[raw] if lower else raw
         size = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-        blank = BLANK[raw]
-        edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+        edge = np.flatnonzero(np.diff(blank[raw], prepend=True, append=True))
         self.start, self.end = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.start, np.concatenate([[0], np.cumsum(size)]))
 
