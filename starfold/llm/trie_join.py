@@ -1,22 +1,19 @@
 """N-gram Jaccard self-join over a prefix tree.
 
-1. Each text becomes its set of distinct shingle hashes, in one global order:
-   rare shingles first. The order comes from a count sketch of fixed size over
-   all documents (a shingle's class is the bit length of the count in its
-   bucket), which orders well at any size and stays an order when counts
-   collide. The class is kept in the leading bits of each number, so that the
-   order of the numbers is the global order.
-2. Equal sets are one set from here on, standing under its smallest id.
-3. Two linked sets share a shingle among the first ``n - ceil(t*n) + 1`` of
-   both. Sets that share such a shingle and have compatible sizes get into
-   one block (connected components); sets alone in their block are done.
-4. Each block's sets are stored once in a prefix tree (most frequent shingle
-   first, so that similar sets share long paths). A set walks down all
-   branches at once, level by level; the overlap of a shared path is counted
-   once, and a subtree is left when even its remaining length cannot reach
-   the overlap that the threshold asks for. A set that is already connected
-   to another is not compared with it again.
-5. Links give the components.
+1. Each text becomes its set of distinct shingle hashes. Equal sets are one
+   set from here on, standing under its smallest id.
+2. Blocks. Two linked sets differ in at most ``D`` shingles, a number that
+   follows from their sizes and the threshold. When the hash range is cut
+   into more than ``D`` segments, at least one segment is the same in both.
+   Sets with an equal segment get into one block (connected components). A
+   segment holds several shingles, so that a passage or line that very many
+   texts share does not bring them together, and no frequencies are needed.
+3. Each block's sets are stored once in a prefix tree, in one order for all
+   of them (most frequent shingle first, so that similar sets share long
+   paths). A set walks down all branches at once, level by level; the overlap
+   of a shared path is counted once, and a subtree is left when even its
+   remaining length cannot reach the overlap that the threshold asks for.
+4. Links give the components.
 
 A block larger than ``BLOCK_ROWS`` or ``BLOCK_SHINGLES`` is cut into parts,
 and each pair of parts is a task of its own. Only links that join two
@@ -36,10 +33,6 @@ from starfold.llm import tokens as T
 from starfold.llm.base import spread, staged, table
 from starfold.llm.graph import components
 
-#: Buckets of the count sketch, whatever the size of the input.
-SKETCH = 1 << 18
-CLASS_SHIFT = np.uint64(57)  # classes below 64; the numbers stay positive as signed
-LOW = np.uint64((1 << 57) - 1)
 #: A task compares at most two parts of this size.
 BLOCK_ROWS = 4_000
 BLOCK_SHINGLES = 4_000_000
@@ -53,30 +46,42 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
         yield from zip(range(a, b), T.shingles(w.hashes(), w.first, k), strict=True)
 
 
-def shingle_classes(docs: DataFrame, k: int) -> np.ndarray:
-    """For each bucket of the sketch, the bit length of its count over all of ``docs`` (id, text)."""
+def size_class(n: int, num: int, den: int) -> tuple[int, int]:
+    """Number and upper bound of the class of size ``n``; bounds grow by ``den / num``."""
+    c, top = 0, 1
+    while top < n:
+        c, top = c + 1, max(top + 1, top * den // num)
+    return c, top
 
-    def count(batches):
-        seen = np.zeros(SKETCH, dtype=np.int64)
-        for batch in batches:
-            for _, s in _sets(batch, k):
-                np.add.at(seen, s & np.uint64(SKETCH - 1), 1)
-        at = np.flatnonzero(seen)
-        for i in range(0, len(at), 1 << 16):
-            part = at[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(seen[part])], ["at", "n"])
-
-    rows = docs.mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    got = rows.select("at", F.length(F.bin("n")).cast("byte").alias("c")).toPandas()  # at most SKETCH rows of 5 bytes
-    out = np.zeros(SKETCH, dtype=np.uint8)
-    out[got["at"].to_numpy()] = got["c"].to_numpy()
-    return out
 
+def segments(s: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Hashes of a sorted set's segments; linked sets have one in common.
 
-def ordered(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """A set as ascending numbers of the global order."""
-    c = classes[(hashes & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64)
-    return np.sort((c << CLASS_SHIFT) | (hashes & LOW)).astype(np.int64)
+    A pair is matched in the size class of its larger set. A set is cut for
+    its own class and for those that sets up to ``den / num`` times as large
+    can be in. Sets of a class of up to ``top`` shingles differ in at most
+    ``D = 2 * top * (den - num) / (den + num)``, and each difference spoils
+    one segment: if one of the two has more than ``D`` segments that are not
+    empty, one of those is whole in both. A set with fewer also puts out its
+    empty ones, for others like it.
+    """
+    out = []
+    n = len(s)
+    c, top = size_class(n, num, den)
+    while True:
+        most = 2 * top * (den - num) // (den + num)
+        m = most + 1 + most // 8
+        of = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+        begin = np.flatnonzero(np.diff(of.astype(np.int64), prepend=-1))
+        of = of[begin]
+        salt = T.mix((of << np.uint64(16)) + np.uint64(c + 1))
+        out.append(T.mix(np.add.reduceat(T.mix(s), begin) ^ salt))
+        if len(begin) <= most:
+            empty = np.setdiff1d(np.arange(m, dtype=np.uint64), of)
+            out.append(T.mix(T.mix((empty << np.uint64(16)) + np.uint64(c + 1))))
+        if top >= n * den // num:
+            return np.concatenate(out)
+        c, top = c + 1, max(top + 1, top * den // num)
 
 
 def _ragged(parts: list[np.ndarray]) -> pa.Array:
@@ -199,9 +204,15 @@ class PrefixTree:
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int) -> Iterator[tuple[int, int]]:
     """Links (positions in left + right) that join groups; ``right`` None: within ``left``."""
     # The walk is short when similar sets share their paths: most frequent first.
-    left = [s[::-1] for s in left]
+    every = left + (right or [])
+    values, code, count = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    rank = np.empty(len(values), dtype=np.int64)
+    rank[np.lexsort((values, -count))] = np.arange(len(values))
+    ends = np.cumsum([len(s) for s in every])[:-1]
+    every = [np.sort(x) for x in np.split(rank[code], ends)]
+    left, right = every[: len(left)], every[len(left) :] if right else None
     tree = PrefixTree(left)
-    probes = left if right is None else [s[::-1] for s in right]
+    probes = left if right is None else right
     shift = 0 if right is None else len(left)
     root = list(range(len(left) + (len(right) if right is not None else 0)))
 
@@ -212,7 +223,7 @@ def _links(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den
         return x
 
     for i, s in enumerate(probes):
-        for j in tree.search(np.sort(s), num, den):
+        for j in tree.search(s, num, den):
             a, b = find(i + shift), find(j)
             if a != b:
                 root[max(a, b)] = min(a, b)
@@ -259,32 +270,35 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     num, den = threshold
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    classes = shingle_classes(d, k)
-    shared = d.sparkSession.sparkContext.broadcast(classes)  # SKETCH bytes
 
     def summaries(batches):
         for batch in batches:
-            n, sig, lead = [], [], []
-            for _, s in _sets(batch, k):
-                s = ordered(s, shared.value)
-                n.append(len(s))
-                lead.append(s[: len(s) - (num * len(s) + den - 1) // den + 1] if len(s) else s)
-                sig.append(_signature(s) if len(s) else None)
+            sets = [s for _, s in _sets(batch, k)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), _ragged(lead)],
-                ["doc_id", "n", "sig", "lead"])
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([_signature(s) if len(s) else None for s in sets], pa.binary())], ["doc_id", "n", "sig"])
 
-    one = staged(d.mapInArrow(summaries, "doc_id long, n long, sig binary, lead array<long>"), "sets")
+    def cut(batches):
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            for rows in _chunks(((ids[i], s) for i, s in _sets(batch, k) if len(s) and ids[i] is not None), 2048):
+                segs = [segments(s, num, den) for _, s in rows]
+                many = np.array([len(x) for x in segs])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(segs).astype(np.int64)),
+                     pa.array(np.repeat(np.array([len(s) for _, s in rows]), many).astype(np.int32)),
+                     pa.array(np.repeat(np.array([i for i, _ in rows], dtype=np.int64), many))], ["seg", "n", "rep"])
+
+    one = staged(d.mapInArrow(summaries, "doc_id long, n long, sig binary"), "sets")
     reps = one.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"))
     reps = staged(reps.where("rep is not null"), "reps")
-    lead = one.join(reps.select(F.col("rep").alias("doc_id"), F.col("sig").alias("_s")), "doc_id").where("sig = _s")
-    postings = lead.select(F.explode("lead").alias("token"), "n", F.col("doc_id").alias("rep"))
+    postings = d.mapInArrow(cut, "seg long, n int, rep long")
 
     def neighbours(batches):
-        """Edges from each set to the first of its run: same token, no gap in size that no link can span."""
+        """Edges from each set to the first of its run: same segment, no gap in size that no link can span."""
         token = hub = size = rep = None
         for batch in batches:
-            t, n, r = (batch.column(i).to_numpy() for i in range(3))
+            t, n, r = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
             if not len(t):
                 continue
             cut = np.ones(len(t), dtype=bool)
@@ -298,8 +312,10 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             pairs = np.unique(np.stack([r[differ], h[differ]], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["src", "dst"])
 
-    near = spread(postings, "token").sortWithinPartitions("token", "n", "rep").mapInArrow(neighbours, "src long, dst long")
-    blocks = staged(components(near).select(F.col("id").alias("rep"), F.col("comp").alias("block")), "blocks")
+    near = spread(postings, "seg").sortWithinPartitions("seg", "n", "rep").mapInArrow(neighbours, "src long, dst long")
+    blocks = components(near).select(F.col("id").alias("rep"), F.col("comp").alias("block")).join(reps, "rep")
+    alone = blocks.groupBy("block").agg(F.count("*").alias("c")).where("c > 1").select("block")
+    blocks = staged(blocks.select("rep", "block").join(alone, "block"), "blocks")
 
     # Parts of large blocks; every pair of parts, and each part with itself, is a task.
     size = blocks.join(one.select(F.col("doc_id").alias("rep"), "n").distinct(), "rep")
@@ -310,7 +326,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def full(batches):
         for batch in batches:
-            sets = [ordered(s, shared.value) for _, s in _sets(batch, k)]
+            sets = [s.astype(np.int64) for _, s in _sets(batch, k)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 3, 4)), _ragged(sets)],
                                              ["rep", "block", "part", "parts", "tokens"])
 
@@ -342,6 +358,17 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _chunks(rows, n: int) -> Iterator[list]:
+    held = []
+    for x in rows:
+        held.append(x)
+        if len(held) == n:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def _signature(s: np.ndarray) -> bytes:
     from hashlib import blake2b
 
