@@ -79,22 +79,30 @@ class Words:
         edge = np.flatnonzero(np.diff(blank[raw], prepend=True, append=True))
         self.start, self.end = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.start, np.concatenate([[0], np.cumsum(size)]))
+        self._hashes: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash for each word."""
-        return span_hashes(self.buf, self.start, self.end)
+        if self._hashes is None:
+            self._hashes = span_hashes(self.buf, self.start, self.end)
+        return self._hashes
 
 
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = _TABLE) -> np.ndarray:
-    """A 64-bit hash of each span of ``buf``; equal spans get equal hashes."""
-    if not len(start):
-        return np.zeros(0, dtype=np.uint64)
-    total = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(table[buf] * _power("up", _BASE, len(buf))[: len(buf)], out=total[1:])
-    return mix((total[end] - total[start]) * _power("down", _BASE_INV, len(buf))[start])
+    """A 64-bit hash of each span of ``buf`` (ascending, not overlapping); equal spans get equal hashes."""
+    out = np.empty(len(start), dtype=np.uint64)
+    cuts = np.unique(np.searchsorted(start, np.arange(0, len(buf) + SLICE_BYTES, SLICE_BYTES))).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # spans in order, a part of the buffer at a time
+        low, high = int(start[a]), int(end[a:b].max())
+        part = buf[low:high]
+        total = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(table[part] * _power("up", _BASE, len(part))[: len(part)], out=total[1:])
+        s = start[a:b] - low
+        out[a:b] = mix((total[end[a:b] - low] - total[s]) * _power("down", _BASE_INV, len(part))[s])
+    return out
 
 
 def shingles(word_hashes: np.ndarray, first: np.ndarray, k: int) -> Iterator[np.ndarray]:

@@ -29,10 +29,12 @@ WINDOW, STRIDE = 40, 30
 ROWS, DIM, HIDDEN = 1 << 16, 16, 8
 RUNS = (3, 4, 5)
 #: Bounds of the training sample: texts of each label, and characters of a text that may be in it.
-SAMPLE = {1: 2_000, 0: 4_000}
+SAMPLE = {1: 1_500, 0: 3_500}
 SAMPLE_CHARS = 20_000
 EPOCHS, BATCH, RATE = 6, 512, 0.01
 THRESHOLD = 0.7
+#: Word types are prepared in parts of this many.
+PART = 8_192
 #: Texts are scored in slices of this many bytes.
 SLICE = 1 << 22
 
@@ -43,6 +45,14 @@ NOT_WORD[128:] = NOT_WORD[48:58] = NOT_WORD[65:91] = NOT_WORD[97:123] = False
 
 def features(words: T.Words, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the hashed table for the words ``pick``: (word row, flat rows of character runs, begin of each word's)."""
+    parts = [_features(words, pick[i : i + PART]) for i in range(0, len(pick), PART)]
+    if not parts:
+        return (np.zeros(0, np.int64),) * 3
+    count = np.concatenate([x[2] for x in parts])
+    return np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]), np.cumsum(count) - count
+
+
+def _features(words: T.Words, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begin, size = words.start[pick], words.end[pick] - words.start[pick]
     # The picked words side by side, each between two marks (a byte that no word holds).
     room = size + 2
@@ -50,17 +60,17 @@ def features(words: T.Words, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     flat = np.full(int(room.sum()) + max(RUNS), 0x20, dtype=np.uint8)
     inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     flat[np.repeat(at + 1, size) + inner] = words.buf[np.repeat(begin, size) + inner]
-    row = (T.span_hashes(words.buf, begin, words.end[pick]) % np.uint64(ROWS)).astype(np.int64)
+    row = (words.hashes()[pick] % np.uint64(ROWS)).astype(np.int64)
     starts, owner = [], []
     for k in RUNS:
         n = np.maximum(room - k + 1, 0)
         inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         starts.append((np.repeat(at, n) + inside, k))
         owner.append(np.repeat(np.arange(len(pick)), n))
-    code = [(T.mix(_pack(flat, s, k)) % np.uint64(ROWS)).astype(np.int64) for s, k in starts]
+    code = [(T.mix(_pack(flat, s, k)) % np.uint64(ROWS)).astype(np.uint16) for s, k in starts]
     order = np.argsort(np.concatenate(owner), kind="stable")
     count = np.bincount(np.concatenate(owner), minlength=len(pick))
-    return row, np.concatenate(code)[order], np.cumsum(count) - count
+    return row, np.concatenate(code)[order], count
 
 
 def _pack(flat: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
@@ -105,8 +115,14 @@ class Network:
     def embed(self, row: np.ndarray, runs: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """Vectors of word types; every word has at least one character run."""
         emb = self.p["emb"]
-        n = np.diff(np.append(begin, len(runs)))[:, None].astype(np.float32)
-        return emb[row] + np.add.reduceat(emb[runs], begin, axis=0) / n
+        out = emb[row]
+        ends = np.append(begin, len(runs))
+        for i in range(0, len(row), PART):
+            a, b = ends[i], ends[min(i + PART, len(row))]
+            mine = begin[i : i + PART] - a
+            n = np.diff(np.append(mine, b - a))[:, None].astype(np.float32)
+            out[i : i + PART] += np.add.reduceat(emb[runs[a:b]], mine, axis=0) / n
+        return out
 
     def forward(self, x: np.ndarray, at: np.ndarray, real: np.ndarray, keep: bool = False):
         """Logits of windows. ``x``: vectors of word types; ``at`` (L x B): each position's type; ``real`` (L x B): not padding."""
