@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from starfold.llm import decontaminate, exact_dedup, language_id, toxicity, trie_join
+from starfold.llm import decontaminate, exact_dedup, token_files, language_id, token_files, toxicity, trie_join
 
-_MODULES = (toxicity, trie_join, exact_dedup, language_id, decontaminate)
+_MODULES = (toxicity, trie_join, exact_dedup, token_files, language_id, decontaminate)
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in _MODULES for name, s in m.SQL.items()}
