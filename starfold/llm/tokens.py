@@ -92,14 +92,18 @@ class Words:
 
 
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = _TABLE) -> np.ndarray:
-    """A 64-bit hash of each span of ``buf`` (ascending, not overlapping); equal spans get equal hashes."""
+    """A 64-bit hash of each span of ``buf`` (ascending, not overlapping); equal spans get equal hashes.
+
+    ``buf`` holds bytes, or code points as larger numbers.
+    """
     out = np.empty(len(start), dtype=np.uint64)
     cuts = np.unique(np.searchsorted(start, np.arange(0, len(buf) + SLICE_BYTES, SLICE_BYTES))).tolist()
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # spans in order, a part of the buffer at a time
         low, high = int(start[a]), int(end[a:b].max())
         part = buf[low:high]
         total = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(table[part] * _power("up", _BASE, len(part))[: len(part)], out=total[1:])
+        symbol = table[part] if part.dtype == np.uint8 else mix(part.astype(np.uint64) + np.uint64(1))
+        np.cumsum(symbol * _power("up", _BASE, len(part))[: len(part)], out=total[1:])
         s = start[a:b] - low
         out[a:b] = mix((total[end[a:b] - low] - total[s]) * _power("down", _BASE_INV, len(part))[s])
     return out
