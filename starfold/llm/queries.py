@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from starfold.llm import decontaminate, exact_dedup, token_files, language_id, pieces, token_files, toxicity, trie_join
+from starfold.llm import decontaminate, exact_dedup, token_files, language_id, pieces, token_files, toxicity, trie_join, warc
 
-_MODULES = (toxicity, trie_join, exact_dedup, token_files, language_id, pieces, decontaminate)
+_MODULES = (toxicity, trie_join, warc, exact_dedup, token_files, language_id, warc, pieces, decontaminate)
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in _MODULES for name, s in m.SQL.items()}
