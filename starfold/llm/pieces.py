@@ -311,11 +311,12 @@ def decode(pieces: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, rate: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """Each document encoded and decoded again.
 
     Columns: ``doc_id, n_pieces, ids_crc32`` (of the ids as little-endian
-    unsigned 32-bit numbers), ``restored`` (the decoded text is the text).
+    unsigned 32-bit numbers), ``restored`` (the decoded text is the text),
+    and with ``keep`` also ``pieces``.
     """
 
     def run(batches):
@@ -324,10 +325,14 @@ def round_trip(docs: DataFrame, path: str, rate: float = DROPOUT, seed: int = SE
             data = memoryview(flat.astype("<u4").tobytes())
             crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             same = [x == y for x, y in zip(model(path).decode(flat, many), texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(many), pa.array(crc, pa.int64()), pa.array(same)],
-                                             ["doc_id", "n_pieces", "ids_crc32", "restored"])
-
-    return _rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, restored boolean")
+            cols = [ids, pa.array(many), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
+            if keep:
+                cols.append(pa.ListArray.from_arrays(pa.array(np.array(cut, np.int32)), pa.array(flat, pa.int32())))
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    names = ["doc_id", "n_pieces", "ids_crc32", "restored", *["pieces"] * keep]
+    schema = "doc_id long, n_pieces long, ids_crc32 long, restored boolean" + ", pieces array<int>" * keep
+    return _rows(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
