@@ -26,12 +26,14 @@ from starfold.llm import tokens as T
 from starfold.llm.base import fold, table
 
 WINDOW, STRIDE = 40, 30
-ROWS, DIM, HIDDEN = 1 << 16, 16, 8
+ROWS, DIM, HIDDEN = 1 << 18, 16, 8
 RUNS = (3, 4, 5)
 #: Bounds of the training sample: texts of each label, and characters of a text that may be in it.
 SAMPLE = {1: 1_500, 0: 3_500}
 SAMPLE_CHARS = 20_000
-EPOCHS, BATCH, RATE = 6, 512, 0.01
+EPOCHS, BATCH, RATE = 5, 512, 0.01
+#: Word vectors learn more slowly than the network, so that it does not learn the sample by heart.
+EMB_RATE = 0.4
 THRESHOLD = 0.7
 #: Word types are prepared in parts of this many.
 PART = 8_192
@@ -67,7 +69,7 @@ def _features(words: T.Words, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         starts.append((np.repeat(at, n) + inside, k))
         owner.append(np.repeat(np.arange(len(pick)), n))
-    code = [(T.mix(_pack(flat, s, k)) % np.uint64(ROWS)).astype(np.uint16) for s, k in starts]
+    code = [(T.mix(_pack(flat, s, k)) % np.uint64(ROWS)).astype(np.int32) for s, k in starts]
     order = np.argsort(np.concatenate(owner), kind="stable")
     count = np.bincount(np.concatenate(owner), minlength=len(pick))
     return row, np.concatenate(code)[order], count
@@ -224,6 +226,24 @@ def text_logits(net: Network, texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def evidence(p: Prepared, labels: np.ndarray) -> np.ndarray:
+    """For each row of the hashed table, how much oftener toxic texts hold it than clean ones; 0 if seen in one text only."""
+    row, runs, begin = p.types
+    ends = np.append(begin, len(runs))
+    cut = np.concatenate([[0], np.cumsum(p.many)])
+    held = np.zeros((2, ROWS))
+    for i, y in enumerate(labels.tolist()):
+        if p.many[i]:
+            first, last = cut[i], cut[i + 1] - 1
+            types = np.unique(p.type[p.begin[first] : p.begin[last] + p.size[last]])
+            size = ends[types + 1] - ends[types]
+            mine = np.repeat(ends[types] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            held[y, np.unique(np.concatenate([row[types], runs[mine]]))] += 1
+    n = np.bincount(labels, minlength=2)
+    odds = np.log((held[1] + 0.5) / (n[1] + 1)) - np.log((held[0] + 0.5) / (n[0] + 1))
+    return (np.maximum(odds, 0) * np.maximum(held[1] - 1, 0) / (held[1] + 1 + 0.02 * n[1]) / 3).astype(np.float32)
+
+
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
     """Fit on labelled texts. Without a text of either label every score is 0 or, with toxic ones only, 1/2."""
     net = Network.new(seed)
@@ -234,23 +254,31 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
         net.shift = 0.0 if labels.any() else -30.0
         return net
     owner = np.repeat(np.arange(len(texts)), p.many)
-    clean = np.flatnonzero(labels[owner] == 0)
+    # Every fourth clean text is left out of training: calibration needs clean texts that were not learned.
+    aside = (labels == 0) & (np.cumsum(labels == 0) % 4 == 0)
+    clean = np.flatnonzero((labels[owner] == 0) & ~aside[owner])
+    clean = clean if len(clean) else np.flatnonzero(labels[owner] == 0)
     toxic = np.flatnonzero(labels[owner] == 1)
     first, second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
     row, runs, begin = p.types
     count = np.diff(np.append(begin, len(runs)))
+    # Start from what texts of either label hold: the first component of each row's vector is its evidence.
+    prior = evidence(p, labels)
+    net.p["emb"][:, 0] += prior
+    own = np.maximum.reduceat(prior[runs], begin) + prior[row]
+    hint = np.array([own[p.type[b : b + n]].max() for b, n in zip(p.begin.tolist(), p.size.tolist(), strict=True)], np.float32)
     step = 0
-    for epoch in range(EPOCHS):
-        if epoch < 2:  # no window is known yet: short texts have few to choose from
-            some = toxic[p.many[owner[toxic]] <= 2 + 6 * epoch]
-            some = some if len(some) else toxic
-        else:
-            some = toxic
-        x, score = net.embed(*p.types), np.empty(len(owner), np.float32)
-        every = np.concatenate([some, clean])
-        for i in range(0, len(every), 4096):
-            score[every[i : i + 4096]] = net.forward(x, *p.batch(every[i : i + 4096]))
-        best = some[np.lexsort((-score[some], owner[some]))]
+    # A small sample is gone through in smaller batches and more often.
+    windows_seen = min(len(owner), 10_000)
+    batch = int(np.clip(windows_seen // 24, 16, BATCH))
+    epochs = int(np.clip(240 * batch // windows_seen, EPOCHS, 24))
+    for epoch in range(epochs):
+        x, score = net.embed(*p.types), hint.copy()
+        if epoch:
+            for i in range(0, len(score), 4096):
+                part = np.arange(i, min(i + 4096, len(score)))
+                score[part] = net.forward(x, *p.batch(part))
+        best = toxic[np.lexsort((-score[toxic], owner[toxic]))]
         best = best[np.unique(owner[best], return_index=True)[1]]
         none = r.choice(clean, min(len(clean), 6 * max(len(best), 500)), replace=False)
         if epoch:  # and the clean windows that score highest
@@ -260,8 +288,8 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
         every = r.permutation(np.concatenate([best, none]))
         truth = labels[owner].astype(np.float32)
         # Of some clean windows one word is taken throughout: many copies of a harmless word are harmless.
-        for i in range(0, len(every), BATCH):
-            which = every[i : i + BATCH]
+        for i in range(0, len(every), batch):
+            which = every[i : i + batch]
             at, real = p.batch(which)
             alone = (truth[which] == 0) & (r.random(len(which)) < 0.15)
             at = np.where(alone, at[r.integers(at.shape[0], size=len(which)), np.arange(len(which))], at)
@@ -279,22 +307,23 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
             rows = used[order][groups]
             demb = np.add.reduceat(np.concatenate([dx, np.repeat(dx / n[:, None], n, axis=0)])[order], groups, axis=0)
             step += 1
-            rate = RATE * (1 - 0.8 * epoch / EPOCHS)
+            rate = RATE * (1 - 0.8 * epoch / epochs)
             for k, d in [*g.items(), ("emb", demb)]:
                 part = rows if k == "emb" else slice(None)
                 first[k][part] = 0.9 * first[k][part] + 0.1 * d
                 second[k][part] = 0.99 * second[k][part] + 0.01 * d * d
                 fix = np.float32(np.sqrt(1 - 0.99**step) / (1 - 0.9**step))
-                net.p[k][part] -= np.float32(rate) * fix * first[k][part] / (np.sqrt(second[k][part]) + np.float32(1e-6))
+                net.p[k][part] -= np.float32(rate * (EMB_RATE if k == "emb" else 1)) * fix * first[k][part] / (np.sqrt(second[k][part]) + np.float32(1e-6))
     # Calibrate on whole texts: logistic regression of the label on the highest logit.
     top = text_logits(net, texts)
-    ok = np.isfinite(top)
+    ok = np.isfinite(top) & ((labels == 1) | aside | ~aside.any())
     a, y = top[ok].astype(np.float64), labels[ok].astype(np.float64)
+    w = np.where(y == 1, 1.0, (labels == 0).sum() / max((y == 0).sum(), 1))
     slope, shift = 1.0, 0.0
     for _ in range(50):  # Newton steps with a small prior that keeps the slope finite
         q = 1 / (1 + np.exp(-np.clip(slope * a + shift, -30, 30)))
-        s = q * (1 - q) + 1e-6
-        gradient = np.array([((q - y) * a).sum() + 0.5 * (slope - 1), (q - y).sum() + 0.5 * shift])
+        s = w * q * (1 - q) + 1e-6
+        gradient = np.array([(w * (q - y) * a).sum() + 0.5 * (slope - 1), (w * (q - y)).sum() + 0.5 * shift])
         hessian = np.array([[(s * a * a).sum() + 0.5, (s * a).sum()], [(s * a).sum(), s.sum() + 0.5]])
         move = np.linalg.solve(hessian, gradient)
         slope, shift = slope - move[0], shift - move[1]
@@ -334,7 +363,7 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     Texts of any length are scored whole. Repeated rows are scored each;
     further columns are ignored, whatever their names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # 4 MB, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(net)  # 16 MB, whatever the input
 
     def run(batches):
         for batch in batches:
