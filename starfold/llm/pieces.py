@@ -44,8 +44,8 @@ _A, _B, _C = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE
 
 def skipped(word: np.ndarray, begin, middle, end, rate: float) -> np.ndarray:
     """Is the candidate merge of [begin, middle) and [middle, end) of a keyed word skipped?"""
-    at = np.asarray(begin, np.uint64) * _A + np.asarray(middle, np.uint64) * _B + np.asarray(end, np.uint64) * _C
-    return T.mix(word ^ T.mix(at)) < np.uint64(min(rate, 1.0) * float(1 << 63)) * np.uint64(2)
+    at = sum(np.atleast_1d(np.asarray(x, np.uint64)) * odd for x, odd in ((begin, _A), (middle, _B), (end, _C)))
+    return (T.mix(word ^ T.mix(at)) >> np.uint64(11)) < np.uint64(rate * (1 << 53))  # 53 bits, as in a double
 
 
 class Model:
