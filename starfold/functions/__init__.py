@@ -9,7 +9,6 @@ from starfold.functions.columns import (
     classify,
     date_lit,
     flag,
-    lookup_value,
     lower_trim,
     normalized_string,
     null_if_missing,
@@ -32,7 +31,6 @@ __all__ = [
     "classify",
     "date_lit",
     "flag",
-    "lookup_value",
     "lower_trim",
     "normalized_string",
     "null_if_missing",

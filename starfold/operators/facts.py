@@ -17,15 +17,13 @@ class DimLookup:
     """Resolve ``key`` from ``dim`` by matching ``on`` (natural key columns
     present in both the source and the dimension).
 
-    ``current_col`` restricts a Type 2 dimension to its current versions;
-    ``broadcast_rows`` broadcasts the dimension behind a row-count check.
+    ``current_col`` restricts a Type 2 dimension to its current versions.
     """
 
     dim: DataFrame
     on: tuple[str, ...]
     key: str
     current_col: str | None = None
-    broadcast_rows: int | None = None
 
 
 def resolve_keys(source: DataFrame, lookups: Sequence[DimLookup]) -> DataFrame:
@@ -37,7 +35,7 @@ def resolve_keys(source: DataFrame, lookups: Sequence[DimLookup]) -> DataFrame:
     out = source
     for lk in lookups:
         dim = lk.dim if lk.current_col is None else lk.dim.filter(F.col(lk.current_col))
-        out = lookup(out, dim, lk.on, [lk.key], lk.broadcast_rows)
+        out = lookup(out, dim, lk.on, [lk.key])
     return out
 
 

@@ -1,47 +1,19 @@
-"""Join helpers: size-checked broadcast and lookups."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest row count we agree to ship to every executor: about 100k narrow
-# rows stay near Spark's default 10 MB broadcast size. A code mapping or a
-# tiny dimension is far below it; anything above falls back to a shuffle
-# join (and AQE may still broadcast it from measured runtime sizes).
-DEFAULT_BROADCAST_ROWS = 100_000
 
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` only when ``df`` has at most ``max_rows`` rows.
-
-    The check is ``limit(max_rows + 1).count()``: it stops scanning as soon as
-    the bound is exceeded, so a large side costs one partial pass, never a full
-    collect. Above the bound the frame is returned unhinted and the planner
-    picks a shuffle join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def lookup(
-    source: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    take: Sequence[str],
-    broadcast_rows: int | None = None,
-) -> DataFrame:
+def lookup(source: DataFrame, dim: DataFrame, on: Sequence[str], take: Sequence[str]) -> DataFrame:
     """Left join ``source`` to ``dim`` on ``on`` and bring ``take`` columns.
 
-    Rows without a match keep null in ``take``. With ``broadcast_rows`` the
-    dimension is broadcast behind a size check; otherwise the planner decides
-    (AQE turns the join into a broadcast when the measured side is small and
-    splits skewed partitions of a sort-merge join).
+    Rows without a match keep null in ``take``. The planner chooses the join:
+    a side whose measured size is small is broadcast, and skewed partitions
+    of a sort-merge join are split. For the latter ``dim`` should be read
+    from storage (not aggregated in the same plan), so that nothing above its
+    shuffle has to keep a key's rows together.
     """
-    side = dim.select(*on, *take)
-    if broadcast_rows is not None:
-        side = sized_broadcast(side, broadcast_rows)
-    return source.join(side, on=list(on), how="left")
+    return source.join(dim.select(*on, *take), on=list(on), how="left")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
-
 
 def clean_mapping(
     mapping: DataFrame,
@@ -38,13 +36,12 @@ def apply_mapping(
     system_col: str = "source_system",
     source_col: str = "source_code",
     canonical_col: str = "canonical_code",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``output_col`` = canonical code when mapped, else the source code.
 
-    The mapping lists exceptions only, so it is small; it is broadcast after a
-    size check, which also keeps a hot source code (a third of all rows) from
-    piling into one shuffle partition. ``code_col`` is kept unchanged. A
+    The planner chooses the join from measured sizes: a small mapping is
+    broadcast, and with a large one a hot source code's partition is split.
+    ``code_col`` is kept unchanged. A
     source code listed twice fans rows out, as a plain left join would:
     run :func:`ambiguous_mappings` first.
     """
@@ -52,7 +49,6 @@ def apply_mapping(
         mapping.filter(F.col(system_col) == F.lit(source_system.lower()))
         .select(F.col(source_col).alias("_map_src"), F.col(canonical_col).alias("_map_dst"))
     )
-    m = sized_broadcast(m, broadcast_rows)
     joined = df.join(m, df[code_col] == m["_map_src"], "left")
     return joined.select(
         *[df[c] for c in df.columns],

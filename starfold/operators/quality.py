@@ -126,25 +126,42 @@ def late_batch(existing: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_d
 
 def run_checks(checks: Sequence[Check]) -> DataFrame:
     """``check, violations`` for all checks, evaluated as one Spark job."""
+    return _counts(checks).drop("position")
+
+
+def _counts(checks: Sequence[Check]) -> DataFrame:
     parts = [c.violations.agg(F.count(F.lit(1)).alias("violations"))
-             .select(F.lit(c.name).alias("check"), "violations") for c in checks]
+             .select(F.lit(i).alias("position"), F.lit(c.name).alias("check"), "violations") for i, c in enumerate(checks)]
     return reduce(DataFrame.unionByName, parts)
 
 
+def worst_first(violations: DataFrame, count_col: str = "count", n: int | None = None) -> DataFrame:
+    """Violations by descending count (ties: by the other columns), all or the first ``n``."""
+    rest = [c for c in violations.columns if c != count_col]
+    out = violations.orderBy(F.col(count_col).desc(), *rest)
+    return out if n is None else out.limit(n)
+
+
 def enforce(checks: Sequence[Check], sample: int = 20) -> dict[str, int]:
     """Raise :class:`QualityError` naming every failed check and its count.
 
-    Returns the per-check counts when all pass. Only the small count table
-    and at most ``sample`` rows of a failing check reach the driver.
+    Returns the per-check counts when all pass; checks of one name are told
+    apart by their position and their counts added. Only the small count
+    table and at most ``sample`` rows of a failing check, those of the
+    highest counts first where it has a ``count``, reach the driver.
     """
     if not checks:
         return {}
-    counts = {r["check"]: r["violations"] for r in run_checks(checks).collect()}
-    failed = [c for c in checks if counts.get(c.name, 0) > 0]
-    if failed:
-        lines = []
-        for c in failed:
-            rows = [r.asDict() for r in c.violations.limit(sample).collect()]
-            lines.append(f"{c.name}: {counts[c.name]} violation(s); sample {rows}")
+    found = {r["position"]: r["violations"] for r in _counts(checks).collect()}
+    lines = []
+    for i, c in enumerate(checks):
+        if found[i]:
+            v = c.violations
+            rows = worst_first(v, n=sample) if "count" in v.columns else v.limit(sample)
+            lines.append(f"{c.name}: {found[i]} violation(s); sample {[r.asDict() for r in rows.collect()]}")
+    if lines:
         raise QualityError("\n".join(lines))
+    counts: dict[str, int] = {}
+    for i, c in enumerate(checks):
+        counts[c.name] = counts.get(c.name, 0) + found[i]
     return counts

@@ -197,11 +197,6 @@ def scd2_from_snapshots(snapshots: DataFrame, spec: Scd2Spec, batch_col: str) ->
 # --- history reports -------------------------------------------------------
 
 
-def scd2_current(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """Current versions only."""
-    return dim.filter(F.col(spec.is_current))
-
-
 def scd2_status(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
     """Number of current and expired rows."""
     return dim.groupBy(spec.is_current).agg(F.count(F.lit(1)).alias("count"))

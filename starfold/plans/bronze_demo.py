@@ -38,6 +38,6 @@ def customer_roundtrip(T) -> DataFrame:
     (src.select(*[F.col(c).cast("string") for c in CUSTOMER_COLUMNS])
      .write.option("header", True).option("quote", '"').option("escape", '"').csv(raw_dir))
     raw = read_raw_csv(spark, raw_dir, all_string_schema(CUSTOMER_COLUMNS))
-    write_batch(stamp_batch(raw, "customer.csv", BATCH), bronze_dir)
+    write_batch(stamp_batch(raw, "customer.csv", BATCH), bronze_dir, BATCH)
     good, _quarantine = split_corrupt(read_batch(spark, bronze_dir, BATCH))
     return clean_columns(good, CUSTOMER_TYPES)

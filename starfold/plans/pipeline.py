@@ -1,15 +1,17 @@
 """One batch of the medallion pipeline for athlete-event style inputs.
 
 ``run_batch`` takes three CSV sources (events, code reference, governed code
-mapping), lands them in Bronze, cleans them into Silver, builds three Type 1
-dimensions, merges the Type 2 code dimension and the participation fact, runs
-every gate, and only then writes Gold. Running it again with the next batch
-date into the same output accumulates history.
-
-Differences from a naive chain of counts: each layer is read back from
-storage instead of being recomputed from Bronze, gates are evaluated
-together (one Spark job per gate group), and the Type 2 dimension is
-checkpointed to the shared checkpoint folder before it overwrites itself.
+mapping), lands them in Bronze, sets lines that do not parse aside, cleans
+the rest into Silver, and stages Gold: three Type 1 dimensions, the Type 2
+code dimension and the participation fact. Gates run on the staged files and
+on the state that would be stored; then all tables are published by one
+version file, or none.
+
+No earlier row is lost: Silver keeps each batch in a folder of its own; the
+fact takes a batch either as new truth for the years it delivers
+(``snapshot``) or row by row, by participation key (``incremental``); Type 1
+dimensions keep members that a batch does not name; of the Type 2 dimension
+only the current part is read and written again, closed versions are added.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from starfold.operators.dims import build_dimension
 from starfold.operators.facts import DimLookup, build_fact, class_counters
 from starfold.operators.mapping import ambiguous_mappings, apply_mapping, clean_mapping
 from starfold.operators.scd2 import Scd2Spec, scd2_init, scd2_merge
-from starfold.sources.bronze import all_string_schema, read_batch, read_raw_csv, stamp_batch, write_batch
-from starfold.sources.tables import for_partitioned_write, materialize, read_table, table_exists, write_table
+from starfold.sources.bronze import all_string_schema, read_batch, read_raw_csv, split_corrupt, stamp_batch, write_batch
+from starfold.sources.versions import VersionedTables
 
 # Fixed source layouts of the athlete-event inputs (column names as supplied).
 EVENT_COLUMNS = ["ID", "Name", "Sex", "Age", "Height", "Weight", "Team", "NOC", "Games", "Year",
@@ -89,7 +91,14 @@ class Layout:
 @dataclass
 class BatchReport:
     batch_date: str
+    #: Rows landed, set aside as unreadable, cleaned and dropped in between, by source.
     bronze_rows: dict[str, int] = field(default_factory=dict)
+    rejected_rows: dict[str, int] = field(default_factory=dict)
+    silver_rows: dict[str, int] = field(default_factory=dict)
+    dropped_rows: dict[str, int] = field(default_factory=dict)
+    #: Participation keys that occur more than once in the batch (reported, not enforced).
+    repeated_keys: int = 0
+    version: int = 0
     gate_counts: dict[str, int] = field(default_factory=dict)
     dim_noc_mode: str = ""
 
@@ -108,10 +117,17 @@ def ingest_bronze(spark: SparkSession, input_path: str, reference_path: str, out
     rows = {}
     for name, path, cols, fname in sources:
         raw = read_raw_csv(spark, path, all_string_schema(cols))
-        rows[name] = write_batch(stamp_batch(raw, fname, batch_date), out.bronze(name))
+        rows[name] = write_batch(stamp_batch(raw, fname, batch_date), out.bronze(name), batch_date)
     return rows
 
 
+def readable(spark: SparkSession, out: Layout, name: str, batch_date: str, report: BatchReport) -> DataFrame:
+    """A batch's Bronze rows; lines that do not parse are written to quarantine and counted."""
+    good, bad = split_corrupt(read_batch(spark, out.bronze(name), batch_date))
+    report.rejected_rows[name] = write_batch(bad, f"{out.root}/quarantine/{name}", batch_date)
+    return good
+
+
 # --- Silver ---------------------------------------------------------------
 
 
@@ -144,22 +160,21 @@ def transform_reference(bronze_ref: DataFrame, mapping: DataFrame) -> DataFrame:
     return add_record_hash(one, ["region"], "record_hash")
 
 
-def build_silver(spark: SparkSession, out: Layout, batch_date: str,
+def build_silver(spark: SparkSession, out: Layout, batch_date: str, report: BatchReport,
                  on_malformed: str = "fail") -> tuple[DataFrame, DataFrame]:
     """Write the batch's Silver tables and return them *read back from
     storage*, so later steps never recompute from Bronze."""
-    mapping = clean_code_mapping(read_batch(spark, out.bronze("reference/noc_code_mapping"), batch_date))
+    mapping = clean_code_mapping(readable(spark, out, "reference/noc_code_mapping", batch_date, report))
     Q.enforce([Q.Check("mapping ambiguity", ambiguous_mappings(
         mapping, "source_system", "source_noc_code", "canonical_noc_code"))])
-    events = transform_events(read_batch(spark, out.bronze("athlete_events"), batch_date), mapping, on_malformed)
-    ref = transform_reference(read_batch(spark, out.bronze("noc_regions"), batch_date), mapping)
-    write_table(for_partitioned_write(events, "year"), out.silver("athlete_events"), ["year"], dynamic=True)
-    write_table(ref, out.silver("noc_regions"))
-    # Older years stay in Silver (dynamic overwrite); read back this batch only.
-    this_batch = read_table(spark, out.silver("athlete_events")).filter(
-        F.col("_batch_date") == F.lit(batch_date).cast("date")
-    )
-    return this_batch, read_table(spark, out.silver("noc_regions"))
+    events = transform_events(readable(spark, out, "athlete_events", batch_date, report), mapping, on_malformed)
+    ref = transform_reference(readable(spark, out, "noc_regions", batch_date, report), mapping)
+    for name, df, by in (("athlete_events", events, ["year"]), ("noc_regions", ref, [])):
+        rows = report.silver_rows[name] = write_batch(df, out.silver(name), batch_date, by)
+        report.dropped_rows[name] = report.bronze_rows[name] - report.rejected_rows[name] - rows
+        if not rows:
+            raise Q.QualityError(f"silver_{name} is empty: 1 violation(s)")
+    return read_batch(spark, out.silver("athlete_events"), batch_date), read_batch(spark, out.silver("noc_regions"), batch_date)
 
 
 # --- Gold -----------------------------------------------------------------
@@ -193,51 +208,73 @@ def build_participation(events: DataFrame, dims: dict[str, DataFrame], dim_noc:
     )
 
 
+def gold(spark: SparkSession, output_path: str, table: str) -> DataFrame:
+    """A published Gold table."""
+    df = VersionedTables(spark, Layout(output_path.rstrip("/")).gold("")).read(table)
+    if df is None:
+        raise ValueError(f"no table {table} has been published under {output_path}")
+    return df
+
+
+DIM_KEYS = {"dim_athlete": ("athlete_key", ["athlete_id"]), "dim_games": ("games_key", ["games_name"]),
+            "dim_event": ("event_key", ["sport", "event_name"])}
+
+
+def with_earlier(new: DataFrame, earlier: DataFrame | None, keys: list[str]) -> DataFrame:
+    """``new`` and those rows of ``earlier`` whose keys it does not have."""
+    return new if earlier is None else new.unionByName(earlier.join(new.select(*keys), keys, "left_anti"))
+
+
 def run_batch(spark: SparkSession, input_path: str, reference_path: str, output_path: str,
-              batch_date: str, on_malformed: str = "fail") -> BatchReport:
-    """Bronze -> Silver -> gates -> dimensions -> SCD2 -> fact -> gates -> Gold."""
+              batch_date: str, on_malformed: str = "fail", batch_mode: str = "snapshot") -> BatchReport:
+    """Bronze -> Silver -> gates -> staged Gold -> gates -> one published version.
+
+    ``batch_mode``: ``snapshot``, the batch holds all rows of the years it
+    delivers and replaces them; ``incremental``, it holds new or changed rows.
+    """
+    if batch_mode not in ("snapshot", "incremental"):
+        raise ValueError(f"batch_mode must be 'snapshot' or 'incremental', got {batch_mode!r}")
     out = Layout(output_path.rstrip("/"))
     report = BatchReport(batch_date)
     report.bronze_rows = ingest_bronze(spark, input_path, reference_path, out, batch_date)
-
-    events, ref = build_silver(spark, out, batch_date, on_malformed)
+    events, ref = build_silver(spark, out, batch_date, report, on_malformed)
     report.gate_counts.update(Q.enforce([
         Q.reference_coverage(events, ref, "noc_code", table="silver_athlete_events"),
-        Q.empty_table(events, "silver_athlete_events"),
-        Q.empty_table(ref, "silver_noc_regions"),
-        Q.null_keys(events, ["athlete_id"], "silver_athlete_events"),
-        Q.null_keys(ref, ["noc_code"], "silver_noc_regions"),
+        Q.null_keys(events, ["athlete_id"], "silver_athlete_events", blank=True),
+        Q.null_keys(ref, ["noc_code"], "silver_noc_regions", blank=True),
+        Q.duplicate_keys(ref, ["noc_code"], "silver_noc_regions"),
     ]))
 
-    dims = build_dims(events)
-    noc_path = out.gold("dim_noc")
-    if table_exists(spark, noc_path):
-        existing = read_table(spark, noc_path)
-        Q.enforce([Q.late_batch(existing, ref, NOC_SPEC, batch_date, "dim_noc")])
-        dim_noc = scd2_merge(existing, ref, NOC_SPEC, batch_date)
-        report.dim_noc_mode = "merge"
-    else:
-        dim_noc = scd2_init(ref, NOC_SPEC, batch_date)
-        report.dim_noc_mode = "initial"
-    # Reliable checkpoint: the merged table no longer depends on the files it
-    # is about to replace, and survives the loss of an executor.
-    dim_noc = materialize(dim_noc)
-
-    fact = build_participation(events, dims, dim_noc)
+    store = VersionedTables(spark, out.gold(""))
+    staged = {name: store.stage(with_earlier(d, store.read(name), DIM_KEYS[name][1]), name)
+              for name, d in build_dims(events).items()}
+    current = store.read("dim_noc", ["true"])
+    if current is not None:
+        Q.enforce([Q.late_batch(current, ref, NOC_SPEC, batch_date, "dim_noc")])
+    report.dim_noc_mode = "initial" if current is None else "merge"
+    merged = scd2_init(ref, NOC_SPEC, batch_date) if current is None else scd2_merge(current, ref, NOC_SPEC, batch_date)
+    parts = store.stage_by(merged, "dim_noc", NOC_SPEC.is_current)
+    closed = store.tables.get("dim_noc", {}).get("false", []) + parts.get("false", [])
+    staged["dim_noc"] = {"true": parts["true"]} | ({"false": closed} if closed else {})
+    dims = {name: store.frame(p) for name, p in staged.items()}
+
+    fact = build_participation(events, dims, dims["dim_noc"])
+    years = [str(r["year"]) for r in events.select("year").distinct().collect()]  # as many as the batch delivers
+    if batch_mode == "incremental":
+        fact = with_earlier(fact, store.read("fact_participation", years), ["participation_key"])
+    parts = store.stage_by(fact, "fact_participation", "year")
+    fact = store.frame(parts)
+    staged["fact_participation"] = store.tables.get("fact_participation", {}) | parts
+    whole = store.frame(staged["fact_participation"])
     report.gate_counts.update(Q.enforce([
+        *[Q.duplicate_keys(dims[name], [key], name) for name, (key, _) in DIM_KEYS.items()],
         *[Q.empty_table(d, name) for name, d in dims.items()],
-        Q.empty_table(dim_noc, "dim_noc"),
-        Q.multiple_current_versions(dim_noc, NOC_SPEC, "dim_noc"),
-        Q.empty_table(fact, "fact_participation"),
+        Q.multiple_current_versions(dims["dim_noc"], NOC_SPEC, "dim_noc"),
+        Q.duplicate_keys(dims["dim_noc"], ["noc_key"], "dim_noc"),
         Q.null_keys(fact, ["athlete_key", "games_key", "event_key", "noc_key"], "fact_participation"),
-        Q.orphan_keys(fact, dims["dim_athlete"], "athlete_key", table="fact_participation"),
-        Q.orphan_keys(fact, dims["dim_games"], "games_key", table="fact_participation"),
-        Q.orphan_keys(fact, dims["dim_event"], "event_key", table="fact_participation"),
-        Q.orphan_keys(fact, dim_noc, "noc_key", table="fact_participation"),
+        *[Q.orphan_keys(whole, dims[name], key, table="fact_participation")
+          for name, key in (*((n, k) for n, (k, _) in DIM_KEYS.items()), ("dim_noc", "noc_key"))],
     ]))
-
-    for name, d in dims.items():
-        write_table(d, out.gold(name))
-    write_table(for_partitioned_write(fact, "year"), out.gold("fact_participation"), ["year"], dynamic=True)
-    write_table(dim_noc, noc_path)
+    report.repeated_keys = Q.duplicate_keys(fact, ["participation_key"], "fact_participation").violations.count()
+    report.version = store.publish(staged, last_batch=batch_date)
     return report

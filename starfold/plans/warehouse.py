@@ -35,6 +35,7 @@ from starfold.operators.cleanse import dedupe_by_key, dedupe_exact, require_not_
 from starfold.operators.dims import build_dimension
 from starfold.operators.facts import DimLookup, build_fact, class_counters
 from starfold.operators.mapping import ambiguous_mappings, apply_mapping, clean_mapping
+from starfold.sources.tables import stored
 from starfold.operators.scd2 import (
     Scd2Spec,
     scd2_changes,
@@ -72,22 +73,18 @@ CUSTOMER_SPEC = Scd2Spec(
 )
 
 
-_HANDLES: dict[tuple[int, str, str], DataFrame] = {}
-
-
 def loader(spark: SparkSession, sf_dir: str) -> Loader:
     """Table reader for one folder of read-only Parquet tables.
 
     A table's DataFrame handle (file listing and footer schema) is created
-    once per session and reused, like a table registered in a catalogue;
-    each query still plans and scans the files itself.
+    once for a loader and reused within its query.
     """
+    handles: dict[str, DataFrame] = {}
 
     def load(name: str) -> DataFrame:
-        key = (id(spark), sf_dir, name)
-        if key not in _HANDLES:
-            _HANDLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        return _HANDLES[key]
+        if name not in handles:
+            handles[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return handles[name]
 
     return load
 
@@ -204,6 +201,16 @@ def dim_customer_history(T: Loader) -> DataFrame:
     return scd2_from_snapshots(customer_snapshots(T), CUSTOMER_SPEC, "batch_date")
 
 
+def stored_customer_history(T: Loader) -> DataFrame:
+    """The customer history written to the shared folder and read back.
+
+    Facts join the stored table: with the history's windows in the same plan
+    its shuffle would have to keep each customer together, and a customer
+    with a third of all lines could not be split over tasks.
+    """
+    return stored(dim_customer_history(T), "customer-history")
+
+
 def derived_key(*cols: str) -> F.Column:
     """Type 1 surrogate key computed from the natural key on the fact row.
 
@@ -224,17 +231,23 @@ def fact_lines(T: Loader, customers: DataFrame | None = None) -> DataFrame:
     Three Type 1 keys are derived on the row; only the Type 2 customer key
     needs a join (current version, one row per customer).
     """
-    ev = line_events(T)
-    customers = customers if customers is not None else dim_customer_history(T)
-    return build_fact(
-        ev,
+    customers = customers if customers is not None else stored_customer_history(T)
+    return fact_columns(
+        line_events(T),
         [DimLookup(customers, ("c_custkey",), "customer_key", current_col="is_current")],
+    )
+
+
+def fact_columns(events: DataFrame, lookups: list[DimLookup]) -> DataFrame:
+    return build_fact(
+        events,
+        lookups,
         [
             "line_key",
             derived_key("l_suppkey").alias("supplier_key"),
             derived_key("order_date").alias("date_key"),
             derived_key("p_type", "p_brand").alias("part_kind_key"),
-            "customer_key",
+            *[lk.key for lk in lookups],
             "l_orderkey", "l_linenumber", "l_suppkey", "c_custkey", "order_date", "p_type", "p_brand",
             "year", "l_quantity", "l_extendedprice", "l_discount", "medal",
             *class_counters("medal", MEDALS),
@@ -253,11 +266,12 @@ def q_fact_star(T: Loader) -> DataFrame:
 
 
 def q_yearly_trend(T: Loader) -> DataFrame:
-    return analytics.yearly_trend(fact_lines(T), "year")
+    """No customer column is used, so the fact is built without that lookup."""
+    return analytics.yearly_trend(fact_columns(line_events(T), []), "year").orderBy("year")
 
 
 def q_totals_by_member(T: Loader) -> DataFrame:
-    customers = dim_customer_history(T)
+    customers = stored_customer_history(T)
     return analytics.totals_by_member(
         fact_lines(T, customers), customers, "customer_key", ["c_mktsegment", "priority"]
     )
@@ -450,8 +464,8 @@ def audit_fact(T: Loader) -> DataFrame:
             DimLookup(active_suppliers(T).withColumnRenamed("s_suppkey", "l_suppkey"), ("l_suppkey",),
                       "supplier_key"),
             DimLookup(dim_date(T), ("order_date",), "date_key"),
-            DimLookup(dim_part_kind(T), ("p_type", "p_brand"), "part_kind_key", broadcast_rows=100_000),
-            DimLookup(dim_customer_history(T), ("c_custkey",), "customer_key", current_col="is_current"),
+            DimLookup(dim_part_kind(T), ("p_type", "p_brand"), "part_kind_key"),
+            DimLookup(stored_customer_history(T), ("c_custkey",), "customer_key", current_col="is_current"),
         ],
         ["line_key", "supplier_key", "date_key", "part_kind_key", "customer_key"],
     )
@@ -525,7 +539,7 @@ def q_layer_reconciliation(T: Loader) -> DataFrame:
     """Rows entering and leaving each layer for line items."""
     raw = T("lineitem")
     silver = line_events(T)
-    gold = fact_lines(T)
+    gold = fact_columns(silver, [])
 
     def count(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("layer"), "rows")
@@ -545,6 +559,12 @@ def q_pipeline_dim_noc(T: Loader) -> DataFrame:
     return q(T)
 
 
+def q_pipeline_incremental(T: Loader) -> DataFrame:
+    from starfold.plans.pipeline_demo import q_pipeline_incremental as q
+
+    return q(T)
+
+
 def q_bronze_roundtrip(T: Loader) -> DataFrame:
     """Customer written as a raw CSV batch, read back by batch and typed."""
     from starfold.plans.bronze_demo import customer_roundtrip
@@ -593,4 +613,5 @@ QUERIES: dict[str, Callable[[Loader], DataFrame]] = {
     "bronze_roundtrip": q_bronze_roundtrip,
     "pipeline_yearly_trend": q_pipeline_yearly_trend,
     "pipeline_dim_noc": q_pipeline_dim_noc,
+    "pipeline_incremental": q_pipeline_incremental,
 }

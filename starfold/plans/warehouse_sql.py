@@ -324,4 +324,22 @@ FROM n
 UNION ALL
 SELECT 'N' || n_nationkey, n_name || ' (EU)', r_name, DATE '2026-06-21', DATE '9999-12-31', TRUE
 FROM n WHERE r_name = 'EUROPE'""",
+    "pipeline_incremental": """WITH src AS (
+  SELECT DISTINCT c.c_custkey, c.c_name, c.c_mktsegment, l.l_linenumber, l.l_quantity, p.p_size,
+         c.c_nationkey, CAST(year(o.o_orderdate) AS INTEGER) AS year, p.p_type, p.p_brand,
+         """ + MEDAL + """ AS medal, o.o_totalprice < 150000 AS first
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey
+), later AS (SELECT DISTINCT c_custkey, year, p_brand FROM src WHERE NOT first),
+stored AS (
+  SELECT s.* FROM src s LEFT JOIN later n
+    ON n.c_custkey = s.c_custkey AND n.year = s.year AND n.p_brand = s.p_brand
+  WHERE NOT s.first OR n.c_custkey IS NULL
+)
+SELECT year, count(*) AS participations, count(medal) AS medals,
+       CAST(sum(CASE WHEN medal = 'Gold' THEN 1 ELSE 0 END) AS BIGINT) AS gold_medals,
+       CAST(sum(CASE WHEN medal = 'Silver' THEN 1 ELSE 0 END) AS BIGINT) AS silver_medals,
+       CAST(sum(CASE WHEN medal = 'Bronze' THEN 1 ELSE 0 END) AS BIGINT) AS bronze_medals,
+       round(CAST(count(medal) AS DOUBLE) / count(*), 4) AS medal_rate
+FROM stored GROUP BY year""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from starfold.session import ensure_checkpoint_dir
+from starfold.session import ensure_checkpoint_dir, scratch_path
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -34,6 +34,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back as a table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def for_partitioned_write(df: DataFrame, *partition_cols: str) -> DataFrame:
     """Group rows by output partition before a partitioned write.
 

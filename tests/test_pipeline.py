@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starfold.operators.analytics import totals_by_member, yearly_trend
 from starfold.operators.quality import QualityError
 from starfold.plans.pipeline import EVENT_COLUMNS, run_batch
+from starfold.plans.pipeline import gold as published
 
 from conftest import FIXTURES
 
@@ -63,7 +64,7 @@ def test_two_batches_accumulate_history(spark, workdir):
     r1 = run_batch(spark, write_inputs(workdir, "batch_1", EVENTS_1), ref, out, B1)
     assert r1.dim_noc_mode == "initial"
     assert r1.bronze_rows["athlete_events"] == len(EVENTS_1)
-    gold = lambda t: spark.read.parquet(f"{out}/gold/{t}")
+    gold = lambda t: published(spark, out, t)
     assert gold("dim_noc").count() == 10
     fact1 = gold("fact_participation")
     assert fact1.count() == 6  # 8 rows - duplicate - null id
@@ -105,7 +106,7 @@ def test_uncovered_code_stops_the_batch(spark, workdir):
                        "Judo", "Judo Lightweight", ""]]
     with pytest.raises(QualityError, match="missing from reference"):
         run_batch(spark, write_inputs(workdir, "batch_1", bad), ref, out, B1)
-    assert not os.path.exists(f"{out}/gold")
+    assert not os.path.exists(f"{out}/gold/_versions")
 
 
 def test_null_sport_gives_null_event_key(spark, workdir):
@@ -115,3 +116,62 @@ def test_null_sport_gives_null_event_key(spark, workdir):
                        "NA", "Judo Open", ""]]
     with pytest.raises(QualityError, match="null keys"):
         run_batch(spark, write_inputs(workdir, "batch_1", bad), ref, out, B1)
+
+
+def test_incremental_batch_keeps_earlier_rows_of_its_years(spark, workdir):
+    ref, out = os.path.join(FIXTURES, "noc", "reference"), os.path.join(workdir, "out")
+    run_batch(spark, write_inputs(workdir, "batch_1", EVENTS_1), ref, out, B1)
+    before = {r.participation_key for r in published(spark, out, "fact_participation").collect()}
+    more = [["11", "Kit", "F", "20", "", "", "USA", "USA", "2000 Summer", "2000", "Summer", "Sydney", "Judo", "Judo Open", ""]]
+    run_batch(spark, write_inputs(workdir, "batch_2", more), ref, out, B2, batch_mode="incremental")
+    fact = published(spark, out, "fact_participation")
+    after = [r.participation_key for r in fact.collect()]
+    assert before < set(after) and len(after) == len(before) + 1
+    for dim, key in (("dim_athlete", "athlete_key"), ("dim_games", "games_key"), ("dim_event", "event_key"), ("dim_noc", "noc_key")):
+        assert fact.join(published(spark, out, dim), key, "left_anti").count() == 0
+    silver = spark.read.parquet(f"{out}/silver/athlete_events")
+    assert silver.count() == 7
+    # the same batch again changes nothing
+    run_batch(spark, write_inputs(workdir, "batch_2", more), ref, out, B2, batch_mode="incremental")
+    assert sorted(r.participation_key for r in published(spark, out, "fact_participation").collect()) == sorted(after)
+
+
+def test_failure_before_the_publication_leaves_the_old_version(spark, workdir, monkeypatch):
+    from starfold.sources.versions import VersionedTables
+
+    ref, out = os.path.join(FIXTURES, "noc", "reference"), os.path.join(workdir, "out")
+    run_batch(spark, write_inputs(workdir, "batch_1", EVENTS_1), ref, out, B1)
+    tables = ["dim_athlete", "dim_games", "dim_event", "dim_noc", "fact_participation"]
+    before = {t: sorted(map(str, published(spark, out, t).collect())) for t in tables}
+
+    def fail(self, df, table, column):
+        if table == "fact_participation":
+            raise OSError("lost")
+        return stage_by(self, df, table, column)
+
+    stage_by = VersionedTables.stage_by
+    monkeypatch.setattr(VersionedTables, "stage_by", fail)
+    with pytest.raises(OSError, match="lost"):
+        run_batch(spark, write_inputs(workdir, "batch_2", EVENTS_2), ref, out, B2)
+    assert {t: sorted(map(str, published(spark, out, t).collect())) for t in tables} == before
+
+
+def test_unreadable_lines_are_set_aside_and_counted(spark, workdir):
+    ref, out = os.path.join(FIXTURES, "noc", "reference"), os.path.join(workdir, "out")
+    d = write_inputs(workdir, "batch_1", EVENTS_1)
+    with open(os.path.join(d, "athlete_events.csv"), "a") as fh:
+        fh.write("99,short line\n")
+    r = run_batch(spark, d, ref, out, B1)
+    assert r.bronze_rows["athlete_events"] == len(EVENTS_1) + 1 and r.rejected_rows["athlete_events"] == 1
+    assert r.silver_rows["athlete_events"] == 6 and r.dropped_rows["athlete_events"] == 2
+    bad = spark.read.parquet(f"{out}/quarantine/athlete_events").collect()
+    assert [x["_corrupt_record"] for x in bad] == ["99,short line"]
+
+
+def test_an_empty_batch_replaces_its_predecessor_and_stops(spark, workdir):
+    ref, out = os.path.join(FIXTURES, "noc", "reference"), os.path.join(workdir, "out")
+    run_batch(spark, write_inputs(workdir, "batch_1", EVENTS_1), ref, out, B1)
+    with pytest.raises(QualityError, match="empty"):
+        run_batch(spark, write_inputs(workdir, "batch_1", []), ref, out, B1)
+    assert spark.read.parquet(f"{out}/bronze/athlete_events").count() == 0
+    assert published(spark, out, "fact_participation").count() == 6
