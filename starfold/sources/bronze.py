@@ -43,17 +43,22 @@ def batch_path(path: str, batch_date: str) -> str:
     return f"{path.rstrip('/')}/{BATCH_COL}={batch_date}"
 
 
-def write_batch(df: DataFrame, path: str, batch_date: str, by: Sequence[str] = ()) -> int:
-    """Write one batch into its own folder of a table, replacing what was there.
+def write_batch(df: DataFrame, path: str, batch_date: str | None = None, by: Sequence[str] = ()) -> int:
+    """Write batches into their own folders of a table; other batches stay.
 
-    Other batches stay, and a batch without rows replaces its predecessor
-    too. Returns the number of rows, observed during the write.
+    With ``batch_date`` the rows are that batch, and replace its folder even
+    if there are none. Without, each batch that ``df`` has rows of is
+    replaced. Returns the number of rows, observed during the write.
     """
     obs = Observation("rows")
-    out = df.drop(BATCH_COL).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if batch_date is not None:
+        out, path, mode = out.drop(BATCH_COL), batch_path(path, batch_date), "static"
+    else:
+        by, mode = [BATCH_COL, *by], "dynamic"
     if by:
         out = out.hint("rebalance", *by)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(batch_path(path, batch_date))
+    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*by).parquet(path)
     return obs.get["rows"]
 
 

@@ -2,9 +2,11 @@
 
 New snapshot files dropped into a folder (one batch date per file or per
 folder) are picked up by a file stream; every micro-batch is merged into the
-stored dimension with :func:`scd2_merge`, batch dates in ascending order.
-The stream's checkpoint records which files were consumed, and a replayed
-micro-batch is harmless because merging the same batch twice changes nothing.
+stored dimension, batch dates in ascending order, and published as one
+version of it together with the dates merged so far. A micro-batch that is
+replayed finds its dates among them and changes nothing; a date that arrives
+after a later one was merged, a repeated key or a null key stops the stream
+before anything is published.
 """
 
 from __future__ import annotations
@@ -14,41 +16,64 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from starfold.operators.scd2 import Scd2Spec, scd2_init, scd2_merge
-from starfold.sources.tables import read_table, replace_table, table_exists
-from starfold.session import scratch_path
+from starfold.operators import quality as Q
+from starfold.operators.scd2 import Scd2Spec, scd2_from_snapshots, scd2_merge
+from starfold.sources.versions import VersionedTables
+
+TABLE = "dimension"
+
+
+def read_dimension(spark: SparkSession, target: str) -> DataFrame | None:
+    """The published dimension; None before the first batch."""
+    return VersionedTables(spark, target).read(TABLE)
 
 
 def merge_snapshots(spark: SparkSession, snapshots: DataFrame, spec: Scd2Spec, target: str,
                     batch_col: str) -> None:
-    """Merge every batch date present in ``snapshots`` into ``target``.
+    """Merge every batch date of ``snapshots`` that ``target`` has not merged yet.
 
-    Only the distinct batch dates (a handful per micro-batch) reach the
-    driver; the rows themselves stay distributed.
+    The first load builds the history of all its dates at once. Later dates
+    are merged one after the other: current rows are read and written again,
+    closed versions are added to those that are stored. Only the distinct
+    dates reach the driver.
     """
-    dates = sorted(r[0] for r in snapshots.select(batch_col).distinct().collect())
-    for d in dates:
-        iso = d.isoformat()
-        incoming = snapshots.filter(F.col(batch_col) == F.lit(iso).cast("date")).drop(batch_col)
-        if table_exists(spark, target):
-            merged = scd2_merge(read_table(spark, target), incoming, spec, iso)
+    dates = sorted(r[0].isoformat() for r in snapshots.select(batch_col).distinct().collect())
+    merged = VersionedTables(spark, target).info.get("dates", [])
+    new = [d for d in dates if d not in merged]
+    if not new:
+        return
+    if merged and new[0] < merged[-1]:
+        raise Q.QualityError(f"batch {new[0]} arrives after {merged[-1]} was merged")
+    rows = snapshots.filter(F.col(batch_col).isin([F.to_date(F.lit(d)) for d in new]))
+    Q.enforce([Q.null_keys(rows, list(spec.business_key), TABLE),
+               Q.duplicate_keys(rows, [*spec.business_key, batch_col], TABLE)])
+    steps = [(new, None)] if not merged else [([d], d) for d in new]
+    for done, date in steps:
+        store = VersionedTables(spark, target)
+        if date is None:
+            out = scd2_from_snapshots(rows, spec, batch_col)
         else:
-            merged = scd2_init(incoming, spec, iso)
-        replace_table(merged, target)
+            incoming = rows.filter(F.col(batch_col) == F.to_date(F.lit(date))).drop(batch_col)
+            out = scd2_merge(store.read(TABLE, ["true"]), incoming, spec, date)
+        parts = store.stage_by(out, TABLE, spec.is_current)
+        closed = store.tables.get(TABLE, {}).get("false", []) + parts.get("false", [])
+        store.publish({TABLE: {"true": parts["true"]} | ({"false": closed} if closed else {})},
+                      dates=store.info.get("dates", []) + done)
 
 
 def start_scd2_stream(spark: SparkSession, source_dir: str, schema: StructType, spec: Scd2Spec,
-                      target: str, batch_col: str = "batch_date", checkpoint: str | None = None,
+                      target: str, checkpoint: str, batch_col: str = "batch_date",
                       available_now: bool = True) -> StreamingQuery:
     """Stream Parquet snapshot files from ``source_dir`` into the dimension at
-    ``target``. With ``available_now`` the query processes what is there and
-    stops (scheduled incremental runs); otherwise it keeps polling."""
+    ``target``. ``checkpoint`` must stay the same from start to start: it
+    records which files were read. With ``available_now`` the query processes
+    what is there and stops; otherwise it keeps polling."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
     writer = (
         stream.writeStream.foreachBatch(
             lambda df, _epoch: merge_snapshots(df.sparkSession, df, spec, target, batch_col)
         )
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "scd2-stream"))
+        .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

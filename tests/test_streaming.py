@@ -1,8 +1,11 @@
 import datetime as dt
 import os
 
+import pytest
+
 from starfold.operators.scd2 import Scd2Spec, scd2_from_snapshots
-from starfold.streaming.scd2_stream import start_scd2_stream
+from starfold.operators.quality import QualityError
+from starfold.streaming.scd2_stream import merge_snapshots, read_dimension, start_scd2_stream
 
 SCHEMA = "k long, a string, batch_date date"
 
@@ -26,7 +29,25 @@ def test_stream_of_batches_builds_history(spark, workdir):
         q = start_scd2_stream(spark, src, spark.createDataFrame([], SCHEMA).schema, spec, target,
                               checkpoint=ckpt)
         q.awaitTermination()
-    got = sorted(map(tuple, spark.read.parquet(target).collect()))
+    got = sorted(map(tuple, read_dimension(spark, target).collect()))
     want = sorted(map(tuple, scd2_from_snapshots(spark.createDataFrame(all_rows, SCHEMA), spec,
                                                  "batch_date").collect()))
     assert got == want
+
+
+def test_replays_change_nothing_and_faults_stop(spark, workdir):
+    spec = Scd2Spec(("k",), ("a",), ("a",), key_name="vk")
+    target = os.path.join(workdir, "dim")
+    day = lambda n: dt.date(2026, 3, n)
+    rows = [(1, "x", day(1)), (2, "y", day(1)), (1, "z", day(3)), (2, "y", day(3))]
+    later = [(1, "z", day(5)), (2, "w", day(5)), (1, "q", day(6))]
+    frame = lambda r: spark.createDataFrame(r, SCHEMA)
+    for part in (rows, rows, later, rows + later, later):  # two dates at once, and again
+        merge_snapshots(spark, frame(part), spec, target, "batch_date")
+    want = sorted(map(tuple, scd2_from_snapshots(frame(rows + later), spec, "batch_date").collect()))
+    read = lambda: sorted(map(tuple, read_dimension(spark, target).collect()))
+    assert read() == want
+    for bad in ([(1, "late", day(2))], [(1, "a", day(9)), (1, "b", day(9))], [(None, "a", day(9))]):
+        with pytest.raises(QualityError):
+            merge_snapshots(spark, frame(bad), spec, target, "batch_date")
+    assert read() == want
