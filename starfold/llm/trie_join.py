@@ -6,8 +6,13 @@
    follows from their sizes and the threshold. When the hash range is cut
    into more than ``D`` segments, at least one segment is the same in both.
    Sets with an equal segment get into one block (connected components). A
-   segment holds several shingles, so that a passage or line that very many
-   texts share does not bring them together, and no frequencies are needed.
+   segment holds several shingles, so a passage that texts share seldom
+   brings them together; and there are more segments than ``D + 1``, so
+   linked sets agree in several. A segment found in more than ``HOT`` sets
+   counts only for sets that are made of such segments to an extent that
+   linked sets might agree in nothing else; between all others, another
+   segment is sure to be equal. So large groups of copies stay together and
+   common passages do not tie unlike texts into large blocks.
 3. Each block's sets are stored once in a prefix tree, in one order for all
    of them (most frequent shingle first, so that similar sets share long
    paths). A set walks down all branches at once, level by level; the overlap
@@ -33,6 +38,9 @@ from starfold.llm import tokens as T
 from starfold.llm.base import spread, staged, table
 from starfold.llm.graph import components
 
+#: A segment in more sets than this is a common one.
+HOT = 8
+SLACK = (1 << 24) - 1
 #: A task compares at most two parts of this size.
 BLOCK_ROWS = 4_000
 BLOCK_SHINGLES = 4_000_000
@@ -54,8 +62,11 @@ def size_class(n: int, num: int, den: int) -> tuple[int, int]:
     return c, top
 
 
-def segments(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Hashes of a sorted set's segments; linked sets have one in common.
+def segments(s: np.ndarray, num: int, den: int) -> list[tuple[np.ndarray, int, int]]:
+    """For each class a sorted set is cut for: hashes of its segments, the class, and its slack.
+
+    Linked sets have more segments of one class in common than the slack of
+    either.
 
     A pair is matched in the size class of its larger set. A set is cut for
     its own class and for those that sets up to ``den / num`` times as large
@@ -70,17 +81,18 @@ def segments(s: np.ndarray, num: int, den: int) -> np.ndarray:
     c, top = size_class(n, num, den)
     while True:
         most = 2 * top * (den - num) // (den + num)
-        m = most + 1 + most // 8
+        m = most + 1 + most // 4
         of = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         begin = np.flatnonzero(np.diff(of.astype(np.int64), prepend=-1))
         of = of[begin]
         salt = T.mix((of << np.uint64(16)) + np.uint64(c + 1))
-        out.append(T.mix(np.add.reduceat(T.mix(s), begin) ^ salt))
+        cut = T.mix(np.add.reduceat(T.mix(s), begin) ^ salt)
         if len(begin) <= most:
             empty = np.setdiff1d(np.arange(m, dtype=np.uint64), of)
-            out.append(T.mix(T.mix((empty << np.uint64(16)) + np.uint64(c + 1))))
+            cut = np.concatenate([cut, T.mix(T.mix((empty << np.uint64(16)) + np.uint64(c + 1)))])
+        out.append((cut, c, max(len(begin) - most - 1, 0)))
         if top >= n * den // num:
-            return np.concatenate(out)
+            return out
         c, top = c + 1, max(top + 1, top * den // num)
 
 
@@ -282,37 +294,27 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for rows in _chunks(((ids[i], s) for i, s in _sets(batch, k) if len(s) and ids[i] is not None), 2048):
-                segs = [segments(s, num, den) for _, s in rows]
-                many = np.array([len(x) for x in segs])
+                segs = [(x, len(s) << 32 | c << 24 | min(slack, SLACK), i) for i, s in rows for x, c, slack in segments(s, num, den)]
+                many = np.array([len(x) for x, _, _ in segs])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(segs).astype(np.int64)),
-                     pa.array(np.repeat(np.array([len(s) for _, s in rows]), many).astype(np.int32)),
-                     pa.array(np.repeat(np.array([i for i, _ in rows], dtype=np.int64), many))], ["seg", "n", "rep"])
+                    [pa.array(np.concatenate([x for x, _, _ in segs]).astype(np.int64)),
+                     *(pa.array(np.repeat(np.array([x[j] for x in segs], dtype=np.int64), many)) for j in (1, 2))],
+                    ["seg", "size", "rep"])
 
     one = staged(d.mapInArrow(summaries, "doc_id long, n long, sig binary"), "sets")
     reps = one.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"))
     reps = staged(reps.where("rep is not null"), "reps")
-    postings = d.mapInArrow(cut, "seg long, n int, rep long")
-
-    def neighbours(batches):
-        """Edges from each set to the first of its run: same segment, no gap in size that no link can span."""
-        token = hub = size = rep = None
-        for batch in batches:
-            t, n, r = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
-            if not len(t):
-                continue
-            cut = np.ones(len(t), dtype=bool)
-            cut[1:] = (t[1:] != t[:-1]) | (den * n[:-1] < num * n[1:])
-            if token is not None:
-                cut[0] = t[0] != token or den * size < num * n[0]
-            start = np.maximum.accumulate(np.where(cut, np.arange(len(t)), -1))
-            h = np.where(start >= 0, r[np.maximum(start, 0)], hub if hub is not None else 0)
-            token, hub, size = t[-1], h[-1], n[-1]
-            differ = h != r
-            pairs = np.unique(np.stack([r[differ], h[differ]], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["src", "dst"])
-
-    near = spread(postings, "seg").sortWithinPartitions("seg", "n", "rep").mapInArrow(neighbours, "src long, dst long")
+    postings = d.mapInArrow(cut, "seg long, size long, rep long")
+
+    near = spread(postings, "seg").sortWithinPartitions("seg", "size", "rep").mapInArrow(
+        lambda batches: _neighbours(batches, num, den), "hot int, a long, b long, c long")
+    near = staged(near, "near")
+    hot = near.where("hot = 1").select("a", "b", "c")
+    made_of = hot.groupBy("a", "c").agg(F.count("*").alias("n")).where(F.col("n") > F.col("c").bitwiseAND(F.lit(SLACK)))
+    hot = hot.join(made_of.select("a", "c"), ["a", "c"], "left_semi")
+    hubs = hot.groupBy("b").agg(F.min("a").alias("hub"))
+    near = near.where("hot = 0").select(F.col("a").alias("src"), F.col("b").alias("dst")).union(
+        hot.join(hubs, "b").where("a <> hub").select("a", "hub"))
     blocks = components(near).select(F.col("id").alias("rep"), F.col("comp").alias("block")).join(reps, "rep")
     alone = blocks.groupBy("block").agg(F.count("*").alias("c")).where("c > 1").select("block")
     blocks = staged(blocks.select("rep", "block").join(alone, "block"), "blocks")
@@ -369,6 +371,63 @@ def _chunks(rows, n: int) -> Iterator[list]:
         yield held
 
 
+def _neighbours(batches, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Runs of sets with an equal segment, from postings sorted by segment and size.
+
+    A run ends where sizes have a gap that no link can span. Of a run of up
+    to HOT sets, an edge (0, set, first set) for each set but the first; of a
+    longer one, its members (1, set, number of the run, class and slack).
+    """
+    empty = np.zeros(0, dtype=np.int64)
+    held = (empty, empty, empty)  # the last run, which may go on; of a common one only its last member
+    common: int | None = None  # the number of the held run, if it is a common one
+
+    def out(hot, a, b, c):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), hot, np.int32)), *map(pa.array, (a, b, c))], ["hot", "a", "b", "c"])
+
+    def runs(seg, size, rep, last):
+        nonlocal held, common
+        n = size >> 32
+        first = np.ones(len(seg), dtype=bool)
+        first[1:] = (seg[1:] != seg[:-1]) | (den * n[:-1] < num * n[1:])
+        begin = np.flatnonzero(first)
+        many = np.diff(np.append(begin, len(seg)))
+        number = T.mix(seg[begin].astype(np.uint64) ^ T.mix(rep[begin].astype(np.uint64))).astype(np.int64)
+        hot = many > HOT
+        skip = 0
+        if common is not None:  # its last member stands first, and is out already
+            number[0], hot[0], skip = common, True, 1
+        common = None
+        stay = len(seg)
+        if not last:
+            if hot[-1]:
+                common = int(number[-1])
+            else:
+                stay = int(begin[-1])
+            keep = slice(len(seg) - 1, None) if common is not None else slice(stay, None)
+            held = (seg[keep], size[keep], rep[keep])
+        else:
+            held = (empty, empty, empty)
+        member = np.repeat(np.arange(len(begin)), many)[:stay]
+        is_hot = hot[member]
+        is_hot[:skip] = False
+        at = np.flatnonzero(is_hot)
+        if len(at):
+            yield out(1, rep[at], number[member[at]], size[at] & ((1 << 32) - 1))
+        hub = rep[begin[member]]
+        at = np.flatnonzero(~hot[member] & (rep[:stay] != hub))
+        if len(at):
+            pairs = np.unique(np.stack([rep[at], hub[at]], axis=1), axis=0)
+            yield out(0, pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), np.int64))
+
+    for batch in batches:
+        if batch.num_rows:
+            cols = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
+            yield from runs(*cols, False)
+    if len(held[0]):
+        yield from runs(*held, True)
+
+
 def _signature(s: np.ndarray) -> bytes:
     from hashlib import blake2b
 

@@ -139,8 +139,9 @@ def brute_links(sets, num, den):
             if sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])]
 
 
-@pytest.mark.parametrize(("k", "num", "den", "rows"), [(4, 85, 100, None), (5, 4, 5, None), (2, 1, 2, None), (4, 85, 100, 7)])
-def test_similar_sets_equal_brute_force(spark, monkeypatch, k, num, den, rows):
+@pytest.mark.parametrize(("k", "num", "den", "rows", "hot"), [(4, 85, 100, None, 8), (5, 4, 5, None, 2), (2, 1, 2, None, 8), (4, 85, 100, 7, 1)])
+def test_similar_sets_equal_brute_force(spark, monkeypatch, k, num, den, rows, hot):
+    monkeypatch.setattr(trie_join, "HOT", hot)
     if rows:  # large blocks: parts and pairs of parts
         monkeypatch.setattr(trie_join, "BLOCK_ROWS", rows)
     texts = near_texts() + [(0, None), (1, ""), (2, " \n"), (3, "one two"), (4, "ONE  two"), (1000, "one")]
@@ -180,7 +181,28 @@ def test_linked_sets_have_an_equal_segment():
         b = np.unique(np.concatenate([a[r.random(len(a)) > 0.06], r.integers(0, 1 << 63, max(1, n // 20)).astype(np.uint64)]))
         common = len(np.intersect1d(a, b))
         if 100 * common >= 85 * (len(a) + len(b) - common):
-            assert np.isin(trie_join.segments(a, 85, 100), trie_join.segments(b, 85, 100)).any()
+            more = {c: (x, slack) for x, c, slack in trie_join.segments(b, 85, 100)}
+            c = max(trie_join.size_class(len(a), 85, 100)[0], trie_join.size_class(len(b), 85, 100)[0])
+            (x, slack), = ((x, slack) for x, d, slack in trie_join.segments(a, 85, 100) if d == c)
+            assert np.isin(x, more[c][0]).sum() > max(slack, more[c][1])
+
+
+@pytest.mark.parametrize("step", [1, 3, 1000])
+def test_runs_do_not_depend_on_batches(step):
+    import pyarrow as pa
+
+    r = random.Random(step)
+    rows = sorted((r.randrange(12), r.choice([10, 11, 40]) << 32 | 5, i) for i in range(200))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + step])], ["seg", "size", "rep"])
+               for i in range(0, len(rows), step)]
+    got = {tuple(x.values()) for b in trie_join._neighbours(batches, 85, 100) for x in b.to_pylist()}
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["seg", "size", "rep"])
+    assert got == {tuple(x.values()) for b in trie_join._neighbours([whole], 85, 100) for x in b.to_pylist()}
+    runs = {}
+    for seg, size, i in rows:
+        runs.setdefault((seg, size >> 32 == 40), []).append(i)
+    assert {x[1] for x in got if x[0] == 1} == {i for v in runs.values() if len(v) > trie_join.HOT for i in v}
+    assert {x[1:3] for x in got if x[0] == 0} == {(i, v[0]) for v in runs.values() if len(v) <= trie_join.HOT for i in v[1:]}
 
 
 def test_prefix_tree_search_is_exact():
