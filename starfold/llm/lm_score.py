@@ -128,7 +128,8 @@ def fit(docs: DataFrame, targets: DataFrame, size: int = VOCABULARY) -> Models:
                                              ["pair", "target", "background"])
 
     marks = targets.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct().withColumn("_hit", F.lit(True))
-    rows = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id"), "left")
+    # The marks grow with the corpus: one plan for every size, a merge join.
+    rows = docs.select("doc_id", "text").join(marks.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
     rows = rows.select(F.coalesce("_hit", F.lit(False)).alias("target"), "text")
     got = (rows.mapInArrow(count, "pair int, target long, background long").groupBy("pair")
            .agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toPandas())  # size**2 rows at most
