@@ -343,3 +343,47 @@ SELECT year, count(*) AS participations, count(medal) AS medals,
        round(CAST(count(medal) AS DOUBLE) / count(*), 4) AS medal_rate
 FROM stored GROUP BY year""",
 }
+
+
+def picked(key: str, values: list[str], otherwise: str, every: int) -> str:
+    whens = " ".join(f"WHEN {key} % {every} = {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {whens} ELSE {otherwise} END"
+
+
+_TOKENS, _BAD = ["", "NA", "N/A", "null", "NULL", "  NA "], ["12x", "--1", "1 2"]
+_SPOILT = f"""rows AS (
+  SELECT CASE WHEN c_custkey % 19 <> 0 THEN c_custkey END AS k, c_name,
+         {picked('c_custkey', ['', '  '], 'c_mktsegment', 23)} AS seg, c_nationkey FROM customer),
+c AS (SELECT * FROM rows UNION ALL SELECT * FROM rows WHERE c_nationkey % 5 = 1)"""
+
+SQL |= {
+    "typed_cast": f"""SELECT p_partkey, TRY_CAST({null_if_missing('size')} AS INTEGER) AS p_size,
+       upper({null_if_missing('brand')}) AS p_brand, {initcap(null_if_missing('kind'))} AS p_type
+FROM (SELECT p_partkey, {picked('p_partkey', _TOKENS + _BAD, "' ' || p_size", 17)} AS size,
+             {picked('p_partkey', _TOKENS, 'lower(p_brand)', 13)} AS brand,
+             {picked('p_partkey', _TOKENS, 'upper(p_type)', 11)} AS kind FROM part) q""",
+    "dirty_gate_summary": f"""WITH {_SPOILT}
+SELECT 'nowhere is empty' AS "check", CAST(1 AS BIGINT) AS violations
+UNION ALL SELECT 'customer rows with null keys (c_custkey)', count(*) FROM c WHERE k IS NULL
+UNION ALL SELECT 'customer rows with null keys (c_name, c_mktsegment)', count(*) FROM c
+  WHERE c_name IS NULL OR trim(c_name) = '' OR seg IS NULL OR trim(seg) = ''
+UNION ALL SELECT 'customer duplicate keys (c_custkey)', count(*) FROM (SELECT k FROM c GROUP BY k HAVING count(*) > 1)
+UNION ALL SELECT 'distinct customer duplicate keys (c_custkey)', count(*)
+  FROM (SELECT k FROM (SELECT DISTINCT * FROM c) GROUP BY k HAVING count(*) > 1)""",
+    "clean_mapping": """SELECT 'customer' AS source_system, 'N' || n_nationkey AS source_code,
+       upper(n_name) AS canonical_code, 'why' AS reason
+FROM nation WHERE n_nationkey % 7 <> 0 AND n_nationkey % 5 <> 0 AND n_nationkey % 3 <> 0""",
+    "corrupt_rows": """SELECT 'rejected' AS kind, CASE WHEN s_suppkey % 10 = 3 THEN CAST(s_suppkey AS VARCHAR)
+       ELSE s_suppkey || ',' || s_name || ',' || s_nationkey || ',more' END AS line, CAST(1 AS BIGINT) AS rows
+FROM supplier WHERE s_suppkey % 10 IN (3, 4)
+UNION ALL SELECT 'read', NULL, count(*) FROM supplier WHERE s_suppkey % 10 NOT IN (3, 4)""",
+    "fact_versions": f"""WITH {EV}, {HIST}
+SELECT ev.line_key, h.c_custkey AS member, h.valid_from, h.record_hash
+FROM ev LEFT JOIN hist h ON h.c_custkey = ev.c_custkey AND h.is_current""",
+    "totals_all_versions": f"""{FACT}, m AS (SELECT c_custkey, max(c_mktsegment) AS seg FROM hist GROUP BY c_custkey)
+SELECT m.seg AS c_mktsegment, count(*) AS participations, CAST(sum(gold_count) AS BIGINT) AS gold,
+       CAST(sum(silver_count) AS BIGINT) AS silver, CAST(sum(bronze_count) AS BIGINT) AS bronze,
+       CAST(sum(medal_count) AS BIGINT) AS total_medals,
+       round(CAST(sum(medal_count) AS DOUBLE) / count(*), 4) AS medal_rate
+FROM fact JOIN m ON m.c_custkey = fact.c_custkey GROUP BY m.seg""",
+}

@@ -23,7 +23,10 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    """All but corpus queries that SQL cannot express (tested against brute force on their own)."""
+    assert set(oracle_sql()) <= set(queries())
+    without = set(queries()) - set(oracle_sql())
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +37,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
