@@ -8,14 +8,15 @@ repeated task left behind is never read.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyarrow import fs
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (
-        fs.FileSystem.from_uri(uri) if uri.startswith("file:") else (fs.LocalFileSystem(), uri))
+    """File system and path of a URI, or of a plain local path."""
+    return fs.FileSystem.from_uri(uri) if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", uri) else (fs.LocalFileSystem(), uri)
 
 
 def new_file(folder: str, stem: str, suffix: str) -> tuple[str, object]:

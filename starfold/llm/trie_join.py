@@ -5,14 +5,14 @@
 2. Blocks. Two linked sets differ in at most ``D`` shingles, a number that
    follows from their sizes and the threshold. When the hash range is cut
    into more than ``D`` segments, at least one segment is the same in both.
-   Sets with an equal segment get into one block (connected components). A
-   segment holds several shingles, so a passage that texts share seldom
-   brings them together; and there are more segments than ``D + 1``, so
-   linked sets agree in several. A segment found in more than ``HOT`` sets
-   counts only for sets that are made of such segments to an extent that
-   linked sets might agree in nothing else; between all others, another
-   segment is sure to be equal. So large groups of copies stay together and
-   common passages do not tie unlike texts into large blocks.
+   There are more segments than ``D + 1``, so linked sets agree in several of
+   them: in more than their slack, a number known for each set. Pairs that
+   agree in as many get into one block (connected components). A passage or
+   line that texts share makes few segments equal and does not bring them
+   together. A segment found in more than ``HOT`` sets is not paired:
+   it lowers, for the sets that have it, the number of others to agree in,
+   and where nothing is left of that number, sets that share it go into one
+   block without being paired. So large groups of copies stay together.
 3. Each block's sets are stored once in a prefix tree, in one order for all
    of them (most frequent shingle first, so that similar sets share long
    paths). A set walks down all branches at once, level by level; the overlap
@@ -40,7 +40,7 @@ from starfold.llm.graph import components
 
 #: A segment in more sets than this is a common one.
 HOT = 8
-SLACK = (1 << 24) - 1
+SLACK, LOW32 = (1 << 24) - 1, (1 << 32) - 1
 #: A task compares at most two parts of this size.
 BLOCK_ROWS = 4_000
 BLOCK_SHINGLES = 4_000_000
@@ -307,14 +307,20 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     postings = d.mapInArrow(cut, "seg long, size long, rep long")
 
     near = spread(postings, "seg").sortWithinPartitions("seg", "size", "rep").mapInArrow(
-        lambda batches: _neighbours(batches, num, den), "hot int, a long, b long, c long")
+        lambda batches: _neighbours(batches, num, den), "hot int, a long, b long, ca long, cb long, n long")
     near = staged(near, "near")
-    hot = near.where("hot = 1").select("a", "b", "c")
-    made_of = hot.groupBy("a", "c").agg(F.count("*").alias("n")).where(F.col("n") > F.col("c").bitwiseAND(F.lit(SLACK)))
-    hot = hot.join(made_of.select("a", "c"), ["a", "c"], "left_semi")
-    hubs = hot.groupBy("b").agg(F.min("a").alias("hub"))
-    near = near.where("hot = 0").select(F.col("a").alias("src"), F.col("b").alias("dst")).union(
-        hot.join(hubs, "b").where("a <> hub").select("a", "hub"))
+    hot = near.where("hot = 1").select("a", "b", "ca")
+    has = hot.groupBy("a", "ca").agg(F.count("*").alias("h"))  # common segments of a set in a class
+    slack = lambda c: F.col(c).bitwiseAND(F.lit(SLACK))
+    made_of = hot.join(has.where(F.col("h") > slack("ca")).select("a", "ca"), ["a", "ca"], "left_semi")
+    hubs = made_of.groupBy("b").agg(F.min("a").alias("hub"))
+    pairs = near.where("hot = 0").groupBy("a", "b", "ca", "cb").agg(F.sum("n").alias("n"))
+    pairs = pairs.join(has.withColumnRenamed("h", "ha"), ["a", "ca"], "left").join(
+        has.select(F.col("a").alias("b"), F.col("ca").alias("cb"), F.col("h").alias("hb")), ["b", "cb"], "left")
+    for c, h in (("ca", "ha"), ("cb", "hb")):
+        pairs = pairs.where(F.col("n") > slack(c) - F.coalesce(h, F.lit(0)))
+    near = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(
+        made_of.join(hubs, "b").where("a <> hub").select("a", "hub"))
     blocks = components(near).select(F.col("id").alias("rep"), F.col("comp").alias("block")).join(reps, "rep")
     alone = blocks.groupBy("block").agg(F.count("*").alias("c")).where("c > 1").select("block")
     blocks = staged(blocks.select("rep", "block").join(alone, "block"), "blocks")
@@ -374,16 +380,17 @@ def _chunks(rows, n: int) -> Iterator[list]:
 def _neighbours(batches, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Runs of sets with an equal segment, from postings sorted by segment and size.
 
-    A run ends where sizes have a gap that no link can span. Of a run of up
-    to HOT sets, an edge (0, set, first set) for each set but the first; of a
-    longer one, its members (1, set, number of the run, class and slack).
+    A run ends where sizes have a gap that no link can span. Of runs of up to
+    HOT sets, their pairs (0, set, set, class and slack of each, how often);
+    of a longer one, its members (1, set, number of the run, class and slack).
     """
     empty = np.zeros(0, dtype=np.int64)
     held = (empty, empty, empty)  # the last run, which may go on; of a common one only its last member
     common: int | None = None  # the number of the held run, if it is a common one
 
-    def out(hot, a, b, c):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), hot, np.int32)), *map(pa.array, (a, b, c))], ["hot", "a", "b", "c"])
+    def out(hot, a, b, ca, cb, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), hot, np.int32)), *map(pa.array, (a, b, ca, cb, n))],
+                                          ["hot", "a", "b", "ca", "cb", "n"])
 
     def runs(seg, size, rep, last):
         nonlocal held, common
@@ -413,12 +420,20 @@ def _neighbours(batches, num: int, den: int) -> Iterator[pa.RecordBatch]:
         is_hot[:skip] = False
         at = np.flatnonzero(is_hot)
         if len(at):
-            yield out(1, rep[at], number[member[at]], size[at] & ((1 << 32) - 1))
-        hub = rep[begin[member]]
-        at = np.flatnonzero(~hot[member] & (rep[:stay] != hub))
-        if len(at):
-            pairs = np.unique(np.stack([rep[at], hub[at]], axis=1), axis=0)
-            yield out(0, pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), np.int64))
+            none = np.zeros(len(at), np.int64)
+            yield out(1, rep[at], number[member[at]], size[at] & LOW32, none, none)
+        found = []
+        cold = ~hot[member]
+        for step in range(1, HOT):
+            at = np.flatnonzero(cold[: len(member) - step] & (member[step:] == member[: len(member) - step]))
+            if not len(at):
+                break
+            x, y = np.where(rep[at] > rep[at + step], (at, at + step), (at + step, at))
+            found.append(np.stack([rep[x], rep[y], size[x] & LOW32, size[y] & LOW32], axis=1))
+        if found:
+            pairs, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
+            pairs, n = pairs[pairs[:, 0] != pairs[:, 1]], n[pairs[:, 0] != pairs[:, 1]]
+            yield out(0, *pairs.T, n)
 
     for batch in batches:
         if batch.num_rows:
