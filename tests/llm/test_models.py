@@ -198,3 +198,38 @@ def test_language_models_of_empty_tables(spark):
     models = lm_score.fit(docs, none)
     assert len({r["score"] for r in lm_score.score(docs, models).collect()}) == 1
     assert lm_score.score(docs.limit(0), lm_score.fit(docs.limit(0), none)).count() == 0
+
+
+def test_every_word_and_pair_is_modelled(spark):
+    r = random.Random(4)
+    rows = [(i, " ".join(f"w{min(r.randrange(3000), r.randrange(3000))}" for _ in range(60))) for i in range(200)]
+    rows += [(500, None), (501, "rare1 only rare2 twice rare2"), (None, "w1 w2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    other = spark.createDataFrame([(900, "w1 never seen w2 w5"), (901, rows[3][1]), (902, "")], "doc_id long, text string")
+    models = lm_score.fit(docs, spark.createDataFrame([(i,) for i in range(50)], "doc_id long"))
+
+    def learned(ids):
+        now, before, pairs = Counter(), Counter(), Counter()
+        for i, t in rows:
+            v = (t or "").split()
+            if i in ids:
+                now.update(v)
+                pairs.update(zip(["", *v], v))
+                before.update(["", *v][: len(v)])
+        return now, before, pairs
+
+    both = learned(range(50)), learned({i for i, _ in rows})
+    size = len(both[1][0]) + 1
+    assert size > 1_500
+    for table in (docs, other):
+        texts = {r["doc_id"]: (r["text"] or "").split() for r in table.collect()}
+        got = {r["doc_id"]: r for r in lm_score.score(table, models).collect()}
+        assert set(got) == set(texts)
+        for i, v in texts.items():
+            assert got[i]["n_words"] == len(v) and (got[i]["score"] is None) == (not v)
+            for name, (now, before, pairs) in zip(("target_loss", "background_loss"), both):
+                loss = 0.0
+                for b, w in zip(["", *v], v):
+                    one = (now[w] + 1) / (now.total() + size)
+                    loss -= math.log(0.75 * (pairs[b, w] / before[b] if before[b] else one) + 0.25 * one)
+                assert not v or got[i][name] == pytest.approx(loss / len(v), rel=1e-9)
