@@ -2,11 +2,14 @@
 
 Encoding is that of a merge-type (BPE) model: the symbols of a word are
 merged pair by pair, best score first, leftmost first. With dropout each
-candidate pair is skipped when a hash of the key, the word and the pair's
-place falls below the dropout rate. The decision belongs to the pair, so it
-does not depend on the order of work, on the machine or on the batch, and one
-key gives one segmentation. Keys come from the seed and a document's id, with
-``variants`` different ones; each worker encodes a word once for a key.
+candidate pair is skipped when a hash of the seed, the document's id, the
+word's place in the text and the pair's place in the word falls below the
+dropout rate. The decision belongs to the pair, so it does not depend on the
+order of work, on the machine or on the batch, and every occurrence of a word
+has decisions of its own. What follows from decisions is kept: a word's
+pieces without skips and the candidates met on the way, then the same for
+each set of skipped candidates that occurs. An occurrence draws its decisions
+on the candidates it meets until none of the newly met ones is skipped.
 
 White space is kept and characters that the model does not know (and the
 model's own blank mark, when a text holds it) become byte pieces, so that
@@ -32,9 +35,11 @@ from starfold.llm.base import table
 from starfold.llm.spans import SpanCache, gather
 
 MARK = "▁"  # stands for a blank in pieces
-DROPOUT, SEED, VARIANTS = 0.1, 2024, 4
-#: Words of up to this many symbols are handled together; longer ones one by one.
+DROPOUT, SEED = 0.1, 2024
+#: Words of up to this many symbols (63 at most) are handled together; longer ones one by one.
 TOGETHER = 48
+#: Words whose decisions are drawn together.
+PART = 1 << 18
 #: Bytes of text that are encoded together.
 SLICE = 1 << 22
 NEVER = np.int32(1 << 30)
@@ -86,7 +91,8 @@ class Model:
         self.bytes_size = np.array([len(t) for t in text], dtype=np.int64)
         self.bytes_begin = np.cumsum(self.bytes_size) - self.bytes_size
         self.bytes_flat = np.frombuffer(b"".join(text), dtype=np.uint8)
-        self.cache = SpanCache()
+        self.cache = SpanCache()  # words without skips
+        self.skips = SpanCache(1_000_000)  # words with a set of skipped candidates
 
     def merges(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NEVER: no piece) and piece of each pair."""
@@ -134,27 +140,44 @@ class Model:
             i = nxt[i]
         return out
 
-    def many_words(self, sym: np.ndarray, word: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-        """Words of one length (rows of ``sym``): their pieces from the left, and how many."""
+    def many_words(self, sym: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words of one length (rows of ``sym``), without the merges ``skip`` (codes for each row; 0: none).
+
+        Pieces from the left, how many, and row and code of each candidate met.
+        """
         rows, size = sym.shape
         out, many = sym.copy(), np.full(rows, size, dtype=np.int64)
+        met: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int32))]
+
+        def done() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            return out, many, np.concatenate([m[0] for m in met]), np.concatenate([m[1] for m in met])
+
+        def offer(a, b, begin, middle, end, row, skip):
+            rank, made = self.merges(a, b)
+            code = begin | middle << 6 | end << 12
+            ok = rank < NEVER
+            met.append((np.broadcast_to(row, ok.shape)[ok], code[ok]))
+            if skip.shape[-1]:
+                rank = np.where((skip == code[..., None]).any(axis=-1), NEVER, rank)
+            return rank.astype(np.int32), made
+
         if size < 2:
-            return out, many
+            return done()
         live = np.arange(rows)
         sym = sym.copy()
         begin = np.broadcast_to(np.arange(size + 1, dtype=np.int32), (rows, size + 1)).copy()
-        rank, made = self._offer(sym[:, :-1], sym[:, 1:], begin[:, :-2], begin[:, 1:-1], begin[:, 2:], word[:, None], rate)
+        rank, made = offer(sym[:, :-1], sym[:, 1:], begin[:, :-2], begin[:, 1:-1], begin[:, 2:], live[:, None], skip[:, None, :])
         left = size
         while True:
             at = rank.argmin(axis=1)
             go = rank[np.arange(len(live)), at] < NEVER
             if not go.all():
-                done = ~go
-                out[live[done], :left] = sym[done]
-                many[live[done]] = left
-                live, sym, begin, rank, made, word, at = (x[go] for x in (live, sym, begin, rank, made, word, at))
+                stop = ~go
+                out[live[stop], :left] = sym[stop]
+                many[live[stop]] = left
+                live, sym, begin, rank, made, skip, at = (x[go] for x in (live, sym, begin, rank, made, skip, at))
             if not len(live):
-                return out, many
+                return done()
             r = np.arange(len(live))
             sym[r, at] = made[r, at]
             keep = np.arange(left - 1)
@@ -165,7 +188,7 @@ class Model:
             if left == 1:
                 out[live, :1] = sym
                 many[live] = 1
-                return out, many
+                return done()
             # The merged pair's place goes; its neighbours are offered anew.
             gone = np.arange(left - 1)
             gone = gone + (gone >= at[:, None])
@@ -174,19 +197,14 @@ class Model:
             for j in (at - 1, at):
                 ok = np.flatnonzero((j >= 0) & (j < left - 1))
                 c = j[ok]
-                rank[ok, c], made[ok, c] = self._offer(sym[ok, c], sym[ok, c + 1], begin[ok, c], begin[ok, c + 1],
-                                                       begin[ok, c + 2], word[ok], rate)
-
-    def _offer(self, a, b, begin, middle, end, word, rate):
-        rank, made = self.merges(a, b)
-        if rate:
-            rank = np.where((rank < NEVER) & ~skipped(word, begin, middle, end, rate), rank, NEVER)
-        return rank.astype(np.int32), made
+                rank[ok, c], made[ok, c] = offer(sym[ok, c], sym[ok, c + 1], begin[ok, c], begin[ok, c + 1],
+                                                 begin[ok, c + 2], live[ok], skip[ok])
 
     def encode(self, texts: list[str], keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
         """Flat piece ids of all texts, and the number of ids of each.
 
-        ``keys``: a number for each text on which the skipped merges depend.
+        ``keys``: a number for each text on which, with a word's place in
+        the text, the skipped merges depend.
         An empty text has no pieces.
         """
         code = np.frombuffer("".join([" " + t if t else "" for t in texts]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -203,35 +221,109 @@ class Model:
         begin, end = begin[:-1], begin[1:]
         text = np.searchsorted(ends, begin, side="right")
         word = T.span_hashes(code, begin, end) ^ T.mix((end - begin).astype(np.uint64))
-        word = T.mix(word ^ T.mix(keys[text])) if rate else word
-        flat, at, many = self.cache.sequences(word, lambda new: self._words(code, sym, begin[new], end[new], word[new], rate))
-        total = np.concatenate([[0], np.cumsum(many)])
+        place = (begin - (ends - size)[text]).astype(np.uint64)
+        key = T.mix(T.mix(keys[text]) ^ place * _A)
+        parts = [self._words(code, sym, begin[i : i + PART], end[i : i + PART], word[i : i + PART], key[i : i + PART], rate)
+                 for i in range(0, len(begin), PART)]
+        total = np.concatenate([[0], np.cumsum(np.concatenate([m for _, m in parts]))])
         cut = np.searchsorted(begin, np.concatenate([[0], ends]))
-        return gather(flat, at, many), np.diff(total[cut])
+        return np.concatenate([f for f, _ in parts]), np.diff(total[cut])
 
-    def _words(self, code, sym, begin, end, word, rate) -> tuple[np.ndarray, np.ndarray]:
+    def _words(self, code, sym, begin, end, word, key, rate) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of occurrences of words (``key``: on which their decisions depend), and each one's number of ids."""
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, flat ids, sizes
+        size = end - begin
+        alone = (size > TOGETHER) & (sym[begin] >= 0)
+        if rate:
+            for w in np.flatnonzero(alone).tolist():
+                ids = np.array(self.one_word(sym[begin[w] : end[w]].tolist(), int(key[w]), rate), dtype=np.int64)
+                parts.append((np.array([w]), ids, np.array([len(ids)])))
+        live, node = np.flatnonzero(~alone) if rate else np.arange(len(begin)), word
+        own, met, off = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)  # candidates drawn so far, and the skipped
+        cache = self.cache
+        while len(live):
+            def new(at, live=live, own=own, met=met, off=off):
+                return self._new(code, sym, begin, end, live[at], own, met, off)
+
+            got = gather(*(found := cache.sequences(node[live], new)))
+            owner = np.repeat(np.arange(len(live)), found[2])
+            drawn = got < 0  # candidates stand behind the ids
+            ids, n = got[~drawn], np.bincount(owner[~drawn], minlength=len(live))
+            more = np.zeros(len(live), dtype=bool)
+            if rate:
+                cand, mine = -got[drawn], owner[drawn]
+                skip = skipped(key[live[mine]], cand & 63, cand >> 6 & 63, cand >> 12, rate)
+                more[mine[skip]] = True
+            keep = np.repeat(~more, n)
+            parts.append((live[~more], ids[keep], n[~more]))
+            if not more.any():
+                break
+            held = more[mine]
+            stay = np.zeros(len(begin), dtype=bool)
+            stay[live[more]] = True
+            old = stay[own]
+            own, met, off = (np.concatenate(x) for x in ((own[old], live[mine[held]]), (met[old], cand[held]), (off[old], skip[held])))
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(T.mix(cand[skip].astype(np.uint64)), dtype=np.uint64)])
+            cut = np.searchsorted(mine[skip], np.arange(len(live) + 1))
+            node = node.copy()
+            node[live] = T.mix(node[live] ^ T.mix(total[cut[1:]] - total[cut[:-1]]))
+            live, cache = live[more], self.skips
+        many = np.zeros(len(begin), dtype=np.int64)
+        for w, _, m in parts:
+            many[w] = m
+        to = np.cumsum(many) - many
+        flat = np.zeros(int(many.sum()), dtype=np.int32)
+        for w, ids, m in parts:
+            flat[gather(np.arange(len(flat)), to[w], m)] = ids
+        return flat, many
+
+    def _new(self, code, sym, begin, end, words, own, met, off) -> tuple[np.ndarray, np.ndarray]:
+        """For each of ``words``: its ids, and behind them, negative, the candidates met that are not among ``met`` yet.
+
+        ``own, met, off``: the candidates drawn so far, and whether they are skipped.
+        """
+        begin, end = begin[words], end[words]
         size = end - begin
         strange = sym[begin] < 0  # such a character stands alone
-        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, flat ids, sizes
+        slot = np.full(int(max(words.max(), own.max(initial=0))) + 1, -1)
+        slot[words] = np.arange(len(words))
+        mine = slot[own] >= 0
+        own, met, off = slot[own[mine]], met[mine], off[mine]
+        order = np.argsort(own, kind="stable")
+        own, met, off = own[order], met[order], off[order]
+        known = own << 18 | met
+        held = np.searchsorted(own, np.arange(len(words) + 1))
+        skips, skip = own[off], met[off]
+        first = np.searchsorted(skips, np.arange(len(words) + 1))
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for n in np.unique(size[~strange & (size <= TOGETHER)]).tolist():
             which = np.flatnonzero(~strange & (size == n))
             for i in range(0, len(which), 1 << 15):
                 w = which[i : i + (1 << 15)]
-                out, many = self.many_words(sym[begin[w][:, None] + np.arange(n)], word[w], rate)
+                less = first[w + 1] - first[w]
+                without = np.zeros((len(w), int(less.max())), dtype=np.int32)
+                without[np.arange(without.shape[1]) < less[:, None]] = gather(skip, first[w], less)
+                out, many, row, cand = self.many_words(sym[begin[w][:, None] + np.arange(n)], without)
                 parts.append((w, out[np.arange(n) < many[:, None]], many))
+                if len(known):
+                    fresh = ~np.isin(w[row] << 18 | cand, gather(known, held[w], held[w + 1] - held[w]))
+                    row, cand = row[fresh], cand[fresh]
+                order = np.argsort(row, kind="stable")
+                parts.append((w, -cand[order], np.bincount(row, minlength=len(w))))
         for w in np.flatnonzero(strange | (size > TOGETHER)).tolist():
             if strange[w]:
                 ids = self.byte[list(chr(code[begin[w]]).encode("utf-8", "surrogatepass"))]
             else:
-                ids = np.array(self.one_word(sym[begin[w] : end[w]].tolist(), int(word[w]), rate), dtype=np.int64)
+                ids = np.array(self.one_word(sym[begin[w] : end[w]].tolist(), 0, 0.0), dtype=np.int64)
             parts.append((np.array([w]), ids, np.array([len(ids)])))
         many = np.zeros(len(begin), dtype=np.int64)
         for w, _, m in parts:
-            many[w] = m
+            many[w] += m
         to = np.cumsum(many) - many
         flat = np.zeros(int(many.sum()), dtype=np.int32)
-        for w, ids, m in parts:
-            flat[gather(np.arange(len(flat)), to[w], m)] = ids
+        for w, x, m in parts:
+            flat[gather(np.arange(len(flat)), to[w], m)] = x
+            to[w] += m
         return flat, many
 
     def decode(self, flat: np.ndarray, many: np.ndarray) -> list[bytes]:
@@ -259,16 +351,16 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _keys(ids: pa.Array, seed: int, variants: int) -> np.ndarray:
-    """A key for each document id: one of ``variants``, by a hash of seed and id. Null counts as 0."""
+def _keys(ids: pa.Array, seed: int) -> np.ndarray:
+    """A key for each document id, of seed and id. Null counts as 0."""
     own = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    return T.mix(T.mix(own ^ T.mix(np.array([seed], np.uint64))) % np.uint64(variants) + np.uint64(seed))
+    return T.mix(own ^ T.mix(np.array([seed], np.uint64)))
 
 
-def _encoded(batches, path: str, rate: float, seed: int, variants: int) -> Iterator[tuple[pa.Array, list[str], np.ndarray, np.ndarray]]:
+def _encoded(batches, path: str, rate: float, seed: int) -> Iterator[tuple[pa.Array, list[str], np.ndarray, np.ndarray]]:
     for batch in batches:
         ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-        keys = _keys(ids, seed, variants)
+        keys = _keys(ids, seed)
         size = [t.encode("utf-8", "surrogatepass") for t in texts]
         for a, b in T.slices(size, SLICE):
             yield ids[a:b], size[a:b], *model(path).encode(texts[a:b], keys[a:b], rate)
@@ -278,7 +370,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
-def encode(docs: DataFrame, path: str, rate: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
+def encode(docs: DataFrame, path: str, rate: float = DROPOUT, seed: int = SEED,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, pieces`` (ids) for each row, over whole texts.
 
@@ -288,7 +380,7 @@ def encode(docs: DataFrame, path: str, rate: float = DROPOUT, seed: int = SEED,
     """
 
     def run(batches):
-        for ids, _, flat, many in _encoded(batches, path, rate, seed, variants):
+        for ids, _, flat, many in _encoded(batches, path, rate, seed):
             ends = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))],
                                              ["doc_id", "pieces"])
@@ -310,7 +402,7 @@ def decode(pieces: DataFrame, path: str) -> DataFrame:
     return pieces.select("doc_id", "pieces").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, path: str, rate: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
+def round_trip(docs: DataFrame, path: str, rate: float = DROPOUT, seed: int = SEED,
                id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """Each document encoded and decoded again.
 
@@ -320,7 +412,7 @@ def round_trip(docs: DataFrame, path: str, rate: float = DROPOUT, seed: int = SE
     """
 
     def run(batches):
-        for ids, texts, flat, many in _encoded(batches, path, rate, seed, variants):
+        for ids, texts, flat, many in _encoded(batches, path, rate, seed):
             cut = np.concatenate([[0], np.cumsum(many)]).tolist()
             data = memoryview(flat.astype("<u4").tobytes())
             crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]

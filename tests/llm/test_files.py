@@ -129,6 +129,23 @@ def test_encode_and_decode_tables(spark):
     assert all(again[r["doc_id"]] == r["pieces"] for r in trip if r["doc_id"] not in (3, None))
 
 
+def test_every_occurrence_draws_its_own_skips(spark):
+    word = "internationalization"
+    rows = [(0, " ".join([word] * 500)), *((i, word) for i in range(1, 501))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r["pieces"]) for r in pieces.encode(docs, MODEL, 0.1).collect()}
+    m = pieces.Model(MODEL)
+    words, cuts = [], got[0]
+    begin = [i for i, p in enumerate(cuts) if m.names[p].startswith(pieces.MARK)] + [len(cuts)]
+    words = [cuts[a:b] for a, b in zip(begin, begin[1:])]
+    assert len(words) == 500 and len(set(words)) > 20
+    assert len({got[i] for i in range(1, 501)}) > 20
+    # With one candidate merge, the rate is the share of occurrences that are cut.
+    pair = next(n for n, p in enumerate(m.names) if len(p) == 2 and p[0] == pieces.MARK and p[1].isalpha())
+    flat, _ = m.encode([" ".join([m.names[pair][1]] * 20_000)], np.zeros(1, np.uint64), 0.1)
+    assert abs((flat != pair).sum() / 2 / 20_000 - 0.1) < 0.01
+
+
 # --- archives -------------------------------------------------------------
 
 PAGES = [
