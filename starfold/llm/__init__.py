@@ -1,6 +1,6 @@
 """Corpus operators for training-data preparation.
 
-Ten operators over tables of documents and web pages. Nothing else in the
+Operators over tables of documents, web pages and vectors. Nothing else in the
 library imports this subpackage; its queries are registered only when it can
 be imported.
 """
