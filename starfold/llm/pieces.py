@@ -6,10 +6,11 @@ candidate pair is skipped when a hash of the seed, the document's id, the
 word's place in the text and the pair's place in the word falls below the
 dropout rate. The decision belongs to the pair, so it does not depend on the
 order of work, on the machine or on the batch, and every occurrence of a word
-has decisions of its own. What follows from decisions is kept: a word's
-pieces without skips and the candidates met on the way, then the same for
-each set of skipped candidates that occurs. An occurrence draws its decisions
-on the candidates it meets until none of the newly met ones is skipped.
+has decisions of its own. Only a decision on a pair whose turn comes changes
+anything, so an occurrence goes through the merges of its word in their order
+until one is skipped, and from there through those of the word without that
+merge, and so on. What follows is kept: pieces and merges of each word, and
+of each word without the merges skipped so far.
 
 White space is kept and characters that the model does not know (and the
 model's own blank mark, when a text holds it) become byte pieces, so that
@@ -38,6 +39,8 @@ MARK = "▁"  # stands for a blank in pieces
 DROPOUT, SEED = 0.1, 2024
 #: Words of up to this many symbols (63 at most) are handled together; longer ones one by one.
 TOGETHER = 48
+#: Their lengths are rounded up to a multiple of this.
+ROUND = 4
 #: Words whose decisions are drawn together.
 PART = 1 << 18
 #: Bytes of text that are encoded together.
@@ -53,6 +56,13 @@ def skipped(word: np.ndarray, begin, middle, end, rate: float) -> np.ndarray:
     return (T.mix(word ^ T.mix(at)) >> np.uint64(11)) < np.uint64(rate * (1 << 53))  # 53 bits, as in a double
 
 
+def _without(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The matrix without one value in each row, that at ``at``."""
+    keep = np.ones(x.shape, dtype=bool)
+    keep[np.arange(len(x)), at] = False
+    return x[keep].reshape(len(x), -1)
+
+
 class Model:
     """Pieces of a merge-type SentencePiece model and the pairs that make them."""
 
@@ -80,25 +90,39 @@ class Model:
         by_score = sorted(ids.values(), key=lambda i: -sp.get_score(i))
         rank = np.zeros(n, dtype=np.int32)
         rank[by_score] = np.arange(len(by_score))
-        pairs = sorted({(ids[p[:c]] * n + ids[p[c:]], i) for p, i in ids.items() for c in range(1, len(p))
+        pairs = sorted({(ids[p[:c]] * (n + 1) + ids[p[c:]], i) for p, i in ids.items() for c in range(1, len(p))
                         if p[:c] in ids and p[c:] in ids})
         self.n = n
-        self.pair = np.array([k for k, _ in pairs], dtype=np.int64)
-        self.made = np.array([i for _, i in pairs], dtype=np.int32)
+        pair = np.array([k for k, _ in pairs], dtype=np.int64)
+        # Pairs by a hash of so many bits that few share one; ``table`` has the first pair of each hash.
+        bits = max(len(pair) * 16, 2).bit_length()
+        self.shift = np.uint64(64 - bits)
+        place = (pair.view(np.uint64) * _A) >> self.shift
+        order = np.argsort(place, kind="stable")
+        self.pair = pair[order]
+        self.made = np.array([i for _, i in pairs], dtype=np.int32)[order]
         self.rank = rank[self.made]
+        self.table = np.minimum(np.searchsorted(place[order], np.arange(1 << bits, dtype=np.uint64)), len(pair) - 1).astype(np.int32)
+        self.shared = np.append(place[order][1:] == place[order][:-1], False)  # does the next pair have the same hash?
         text = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode() if plain[i] else b""
                 for i, p in enumerate(self.names)]
         self.bytes_size = np.array([len(t) for t in text], dtype=np.int64)
         self.bytes_begin = np.cumsum(self.bytes_size) - self.bytes_size
         self.bytes_flat = np.frombuffer(b"".join(text), dtype=np.uint8)
         self.cache = SpanCache()  # words without skips
-        self.skips = SpanCache(1_000_000)  # words with a set of skipped candidates
+        self.skips = SpanCache()  # words without some of their merges
 
     def merges(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NEVER: no piece) and piece of each pair."""
-        key = a.astype(np.int64) * self.n + b
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        return np.where(self.pair[at] == key, self.rank[at], NEVER), self.made[at]
+        key = a.astype(np.int64) * (self.n + 1) + b
+        at = self.table[(key.view(np.uint64) * _A) >> self.shift]
+        hit = self.pair[at] == key
+        lost = self.shared[at] & ~hit
+        while lost.any():  # pairs that share a place stand side by side
+            at[lost] += 1
+            hit[lost] = self.pair[at[lost]] == key[lost]
+            lost &= self.shared[at] & ~hit
+        return np.where(hit, self.rank[at], NEVER), self.made[at]
 
     def one_word(self, symbols: list[int], word: int, rate: float) -> list[int]:
         """One word's agenda: pieces of its symbols (all known)."""
@@ -140,65 +164,68 @@ class Model:
             i = nxt[i]
         return out
 
-    def many_words(self, sym: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words of one length (rows of ``sym``), without the merges ``skip`` (codes for each row; 0: none).
+    def many_words(self, sym: np.ndarray, skip: np.ndarray,
+                   since: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words as rows of ``sym`` (filled up with ``n``), without the merges ``skip`` (codes for each row; 0: none).
 
-        Pieces from the left, how many, and row and code of each candidate met.
+        All pieces from the left, how many of each row, and row and code of
+        each merge, in order; of a row, those after its first ``since`` ones.
         """
         rows, size = sym.shape
-        out, many = sym.copy(), np.full(rows, size, dtype=np.int64)
-        met: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int32))]
-
-        def done() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-            return out, many, np.concatenate([m[0] for m in met]), np.concatenate([m[1] for m in met])
-
-        def offer(a, b, begin, middle, end, row, skip):
-            rank, made = self.merges(a, b)
-            code = begin | middle << 6 | end << 12
-            ok = rank < NEVER
-            met.append((np.broadcast_to(row, ok.shape)[ok], code[ok]))
-            if skip.shape[-1]:
-                rank = np.where((skip == code[..., None]).any(axis=-1), NEVER, rank)
-            return rank.astype(np.int32), made
-
-        if size < 2:
-            return done()
-        live = np.arange(rows)
-        sym = sym.copy()
-        begin = np.broadcast_to(np.arange(size + 1, dtype=np.int32), (rows, size + 1)).copy()
-        rank, made = offer(sym[:, :-1], sym[:, 1:], begin[:, :-2], begin[:, 1:-1], begin[:, 2:], live[:, None], skip[:, None, :])
-        left = size
-        while True:
-            at = rank.argmin(axis=1)
-            go = rank[np.arange(len(live)), at] < NEVER
-            if not go.all():
-                stop = ~go
-                out[live[stop], :left] = sym[stop]
-                many[live[stop]] = left
-                live, sym, begin, rank, made, skip, at = (x[go] for x in (live, sym, begin, rank, made, skip, at))
-            if not len(live):
-                return done()
-            r = np.arange(len(live))
-            sym[r, at] = made[r, at]
-            keep = np.arange(left - 1)
-            shift = keep + (keep > at[:, None])
-            sym = np.take_along_axis(sym, shift, axis=1)
-            begin = np.take_along_axis(begin, np.arange(left) + (np.arange(left) > at[:, None]), axis=1)
-            left -= 1
-            if left == 1:
-                out[live, :1] = sym
-                many[live] = 1
-                return done()
-            # The merged pair's place goes; its neighbours are offered anew.
-            gone = np.arange(left - 1)
-            gone = gone + (gone >= at[:, None])
-            rank = np.take_along_axis(rank, np.minimum(gone, left - 1), axis=1)
-            made = np.take_along_axis(made, np.minimum(gone, left - 1), axis=1)
-            for j in (at - 1, at):
-                ok = np.flatnonzero((j >= 0) & (j < left - 1))
-                c = j[ok]
-                rank[ok, c], made[ok, c] = offer(sym[ok, c], sym[ok, c + 1], begin[ok, c], begin[ok, c + 1],
-                                                 begin[ok, c + 2], live[ok], skip[ok])
+        wide = size + 1  # a last column that no pair reaches; what stands left of a row's first piece is such a place, too
+        real = sym < self.n
+        piece = np.full((rows, wide), self.n, dtype=np.int32)
+        piece[:, :size] = sym
+        there = np.zeros((rows, wide), dtype=bool)
+        there[:, :size] = real
+        after = np.minimum(np.arange(1, wide + 1, dtype=np.int32), size) + np.zeros((rows, 1), np.int32)
+        before = np.arange(-1, size, dtype=np.int32) + np.zeros((rows, 1), np.int32)
+        begin = np.arange(size - 1, dtype=np.int32)
+        rank, made = np.full((rows, wide), NEVER, dtype=np.int32), np.zeros((rows, wide), dtype=np.int32)
+        first, made[:, : size - 1] = self.merges(piece[:, : size - 1], piece[:, 1:size])
+        if skip.shape[1]:
+            code = begin | begin + 1 << 6 | begin + 2 << 12
+            for column in skip.T:
+                first[code == column[:, None]] = NEVER
+        rank[:, : size - 1] = first
+        log: list[tuple[np.ndarray, np.ndarray]] = []
+        row, step = np.arange(rows), 0
+        flat = [x.reshape(-1) for x in (piece, there, after, before, made)]
+        piece_, there_, after_, before_, made_ = flat
+        while len(row):
+            r = np.arange(len(row))
+            a = rank.argmin(axis=1)
+            go = rank[r, a] < NEVER
+            if not go.all():  # rows that are done leave
+                row, rank, a = row[go], rank[go], a[go]
+                if not len(row):
+                    break
+                r = r[: len(row)]
+                skip, since = skip[go], since[go]
+            base, here = row * wide, r * wide
+            rank_ = rank.reshape(-1)
+            b = after_[base + a]
+            c = after_[base + b]
+            new = since <= step
+            log.append((row[new], (a | b << 6 | c << 12)[new]))
+            step += 1
+            piece_[base + a] = made_[base + a]
+            there_[base + b] = False
+            after_[base + a], before_[base + c] = c, a
+            rank_[here + b] = NEVER
+            # The piece is offered with the one before it, and with the one after it.
+            p, d = before_[base + a], after_[base + c]
+            left, right = np.concatenate([p, a]), np.concatenate([a, c])
+            both = np.concatenate([base, base])
+            ranks, makes = self.merges(piece_[both + left], piece_[both + right])
+            if skip.shape[1]:
+                code = left | right << 6 | np.concatenate([c, d]) << 12
+                ranks = np.where((code.reshape(2, -1, 1) == skip).any(axis=2).reshape(-1), NEVER, ranks)
+            rank_[np.concatenate([here, here]) + left] = ranks
+            made_[both + left] = makes
+        many = there.sum(axis=1)
+        log.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        return piece[there], many, np.concatenate([m[0] for m in log]), np.concatenate([m[1] for m in log])
 
     def encode(self, texts: list[str], keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
         """Flat piece ids of all texts, and the number of ids of each.
@@ -239,35 +266,35 @@ class Model:
                 ids = np.array(self.one_word(sym[begin[w] : end[w]].tolist(), int(key[w]), rate), dtype=np.int64)
                 parts.append((np.array([w]), ids, np.array([len(ids)])))
         live, node = np.flatnonzero(~alone) if rate else np.arange(len(begin)), word
-        own, met, off = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)  # candidates drawn so far, and the skipped
+        own, off = np.zeros(0, np.int64), np.zeros(0, np.int32)  # merges skipped so far, by word
+        since = np.zeros(len(begin), dtype=np.int64)  # merges made before the last skipped one
         cache = self.cache
         while len(live):
-            def new(at, live=live, own=own, met=met, off=off):
-                return self._new(code, sym, begin, end, live[at], own, met, off)
+            def new(at, live=live, own=own, off=off):
+                return self._new(code, sym, begin, end, live[at], own, off, since[live[at]])
 
             got = gather(*(found := cache.sequences(node[live], new)))
             owner = np.repeat(np.arange(len(live)), found[2])
-            drawn = got < 0  # candidates stand behind the ids
-            ids, n = got[~drawn], np.bincount(owner[~drawn], minlength=len(live))
+            merge = got < 0  # merges stand behind the ids
+            ids, n = got[~merge], np.bincount(owner[~merge], minlength=len(live))
             more = np.zeros(len(live), dtype=bool)
             if rate:
-                cand, mine = -got[drawn], owner[drawn]
-                skip = skipped(key[live[mine]], cand & 63, cand >> 6 & 63, cand >> 12, rate)
-                more[mine[skip]] = True
-            keep = np.repeat(~more, n)
-            parts.append((live[~more], ids[keep], n[~more]))
+                cand, mine = -got[merge], owner[merge]
+                hit = np.flatnonzero(skipped(key[live[mine]], cand & 63, cand >> 6 & 63, cand >> 12, rate))
+                hit = hit[np.flatnonzero(np.diff(mine[hit], prepend=-1))]  # the first skipped one of each
+                more[mine[hit]] = True
+            parts.append((live[~more], ids[np.repeat(~more, n)], n[~more]))
             if not more.any():
                 break
-            held = more[mine]
+            next_live, cand = live[mine[hit]], cand[hit]
+            since[next_live] += hit - np.searchsorted(mine, mine[hit])
             stay = np.zeros(len(begin), dtype=bool)
-            stay[live[more]] = True
+            stay[next_live] = True
             old = stay[own]
-            own, met, off = (np.concatenate(x) for x in ((own[old], live[mine[held]]), (met[old], cand[held]), (off[old], skip[held])))
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(T.mix(cand[skip].astype(np.uint64)), dtype=np.uint64)])
-            cut = np.searchsorted(mine[skip], np.arange(len(live) + 1))
+            own, off = np.concatenate([own[old], next_live]), np.concatenate([off[old], cand])
             node = node.copy()
-            node[live] = T.mix(node[live] ^ T.mix(total[cut[1:]] - total[cut[:-1]]))
-            live, cache = live[more], self.skips
+            node[next_live] = T.mix(node[next_live] ^ T.mix(cand.astype(np.uint64)))
+            live, cache = next_live, self.skips
         many = np.zeros(len(begin), dtype=np.int64)
         for w, _, m in parts:
             many[w] = m
@@ -277,10 +304,10 @@ class Model:
             flat[gather(np.arange(len(flat)), to[w], m)] = ids
         return flat, many
 
-    def _new(self, code, sym, begin, end, words, own, met, off) -> tuple[np.ndarray, np.ndarray]:
-        """For each of ``words``: its ids, and behind them, negative, the candidates met that are not among ``met`` yet.
+    def _new(self, code, sym, begin, end, words, own, off, since) -> tuple[np.ndarray, np.ndarray]:
+        """For each of ``words``: its ids, and behind them, negative, its merges after the first ``since`` ones.
 
-        ``own, met, off``: the candidates drawn so far, and whether they are skipped.
+        ``own, off``: the skipped merges, by word.
         """
         begin, end = begin[words], end[words]
         size = end - begin
@@ -288,28 +315,24 @@ class Model:
         slot = np.full(int(max(words.max(), own.max(initial=0))) + 1, -1)
         slot[words] = np.arange(len(words))
         mine = slot[own] >= 0
-        own, met, off = slot[own[mine]], met[mine], off[mine]
-        order = np.argsort(own, kind="stable")
-        own, met, off = own[order], met[order], off[order]
-        known = own << 18 | met
-        held = np.searchsorted(own, np.arange(len(words) + 1))
-        skips, skip = own[off], met[off]
-        first = np.searchsorted(skips, np.arange(len(words) + 1))
+        own, off = slot[own[mine]], off[mine]
+        off = off[np.argsort(own, kind="stable")]
+        first = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=len(words)))])
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for n in np.unique(size[~strange & (size <= TOGETHER)]).tolist():
-            which = np.flatnonzero(~strange & (size == n))
+        wide = -(-size // ROUND) * ROUND  # words of like length go together
+        for n in np.unique(wide[~strange & (size <= TOGETHER)]).tolist():
+            which = np.flatnonzero(~strange & (wide == n) & (size <= TOGETHER))
             for i in range(0, len(which), 1 << 15):
                 w = which[i : i + (1 << 15)]
                 less = first[w + 1] - first[w]
-                without = np.zeros((len(w), int(less.max())), dtype=np.int32)
-                without[np.arange(without.shape[1]) < less[:, None]] = gather(skip, first[w], less)
-                out, many, row, cand = self.many_words(sym[begin[w][:, None] + np.arange(n)], without)
-                parts.append((w, out[np.arange(n) < many[:, None]], many))
-                if len(known):
-                    fresh = ~np.isin(w[row] << 18 | cand, gather(known, held[w], held[w + 1] - held[w]))
-                    row, cand = row[fresh], cand[fresh]
-                order = np.argsort(row, kind="stable")
-                parts.append((w, -cand[order], np.bincount(row, minlength=len(w))))
+                without = np.zeros((len(w), int(less.max())), dtype=np.int64)
+                without[np.arange(without.shape[1]) < less[:, None]] = gather(off, first[w], less)
+                at = np.arange(n) < size[w][:, None]
+                mine = np.full(at.shape, self.n, dtype=np.int32)
+                mine[at] = gather(sym, begin[w], size[w])
+                out, many, row, merge = self.many_words(mine, without, since[w])
+                parts.append((w, out, many))
+                parts.append((w, -merge[np.argsort(row, kind="stable")], np.bincount(row, minlength=len(w))))
         for w in np.flatnonzero(strange | (size > TOGETHER)).tolist():
             if strange[w]:
                 ids = self.byte[list(chr(code[begin[w]]).encode("utf-8", "surrogatepass"))]
