@@ -40,3 +40,12 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Deal rows over the session's shuffle partitions by ``cols``."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *cols)
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", gone_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is none of ``gone``'s; a null id stays. Any column names may clash."""
+    name = "gone"
+    while name in docs.columns:
+        name += "_"
+    ids = gone.select(F.col(gone_col).alias(name)).distinct()
+    return docs.join(ids, docs[id_col] == ids[name], "left_anti")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm.base import staged, table
+from starfold.llm.base import staged, table, without_ids
 
 WORDS = 5
 THRESHOLD = (4, 5)  # shared shingles / shingles of the item
@@ -137,8 +137,7 @@ def containment(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
-    bad = containment(docs, items, id_col, **kw).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+    return without_ids(docs, containment(docs, items, id_col, **kw), id_col)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm.base import staged, table
+from starfold.llm.base import staged, table, without_ids
 
 #: Characters that do not count when texts are compared.
 BLANKS = r"[ \t\n\x0B\f\r]+"
@@ -35,8 +35,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the smallest id. Null, empty and blank texts are equal to each other. Any
     further columns of ``docs`` are ignored, whatever their names. Ids are
     expected to be unique but for repeated rows, which count in
-    ``group_size`` and share one decision; a null id is kept. An empty table
-    gives an empty one.
+    ``group_size`` and share one decision. A row with a null id stays, as
+    nothing could name it: it counts in ``group_size``, never stands for
+    another row, and its ``keep_id`` is null. An empty table gives an empty
+    one.
 
     ``digest_all`` asks for the SHA-256 of every row; otherwise full contents
     are read again and hashed only in groups that survive the first two
@@ -63,24 +65,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         heads = staged(heads, "dedup-heads")
         again = rows.select("doc_id", "points", *keys, "norm").join(heads, ["size", "head"], "left_semi")
         last = staged(again.select("doc_id", "points", "size", "head", digest), "dedup-full")
-    best = F.max(F.struct("points", (-F.col("doc_id")).alias("neg")))
+    best = F.max(F.when(F.col("doc_id").isNotNull(), F.struct("points", (-F.col("doc_id")).alias("neg"))))
     groups = last.groupBy("sha").agg(best.alias("best"), F.count("*").alias("n")).where("n > 1")
-    groups = groups.select("sha", (-F.col("best.neg")).alias("keep_id"), "n")
-    found = one if digest_all else one.join(
-        last.select("doc_id", "sha").distinct(), "doc_id", "left")
+    # Stored, so that the join below is free to split a text that very many rows share.
+    groups = staged(groups.select("sha", (-F.col("best.neg")).alias("keep_id"), "n"), "dedup-groups")
+    found = one if digest_all else last.select("doc_id", "sha").unionByName(
+        one.join(heads, ["size", "head"], "left_anti").select("doc_id", F.lit(None).cast("string").alias("sha")))
+    named = F.col("doc_id").isNotNull()
     return found.join(groups, "sha", "left").select(
         "doc_id",
-        F.coalesce("keep_id", "doc_id").alias("keep_id"),
+        F.when(named, F.coalesce("keep_id", "doc_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("keep_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        (~named | F.coalesce(F.col("keep_id") == F.col("doc_id"), F.lit(True))).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns."""
-    gone = exact_dedup(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without_ids(docs, exact_dedup(docs, id_col, text_col).where("not kept"), id_col)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm import tokens as T
-from starfold.llm.base import spread, staged, table
+from starfold.llm.base import spread, staged, table, without_ids
 from starfold.llm.graph import components
 
 #: A segment in more sets than this is a common one.
@@ -458,8 +458,7 @@ def _unpack(column: pa.Array) -> Iterator[np.ndarray]:
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """Of each component of similar texts the row with the smallest id stays, with all its columns."""
     gone = similar_sets(docs, id_col, text_col, **kw).where("component_id <> doc_id")
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without_ids(docs, gone, id_col)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starfold.llm import decontaminate, exact_dedup, tokens, trie_join
 from starfold.llm.base import fold
@@ -103,7 +104,8 @@ def test_components(spark, edges):
 # --- exact copies ---------------------------------------------------------
 
 EXACT = [(1, "a b"), (2, "ab"), (3, " a\tb\x0b"), (4, None), (5, ""), (6, "\n \r"), (7, "x" * 200), (8, "x" * 199 + " x"),
-         (9, "x" * 64 + "y"), (10, "x" * 64 + "z"), (11, "é"), (12, "é "), (2, "ab"), (None, "null id")]
+         (9, "x" * 64 + "y"), (10, "x" * 64 + "z"), (11, "é"), (12, "é "), (2, "ab"), (None, "null id"),
+         (None, "a    b    "), (None, "null id "), (20, "q" * 70), (None, "q" * 69 + "     q")]
 
 
 @pytest.mark.parametrize("digest_all", [True, False])
@@ -115,18 +117,18 @@ def test_exact_dedup_equals_brute_force(spark, digest_all):
         groups.setdefault(re.sub(r"[\x20\x09-\x0d]", "", t or ""), []).append((-len(t or ""), i))
     want = Counter()
     for rows in groups.values():
-        best = min(rows, key=lambda x: (x[0], x[1] or 0))[1]
-        want.update((i, best, len(rows), i == best or i is None) for _, i in rows)
+        best = min((x for x in rows if x[1] is not None), default=(0, None))[1]  # a null id stands for no other row
+        want.update((i, best if i is not None else None, len(rows), i is None or i == best) for _, i in rows)
     assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == want
     if digest_all:
         assert all(len(r["text_sha256"]) == 64 for r in got)
 
 
 def test_drop_exact_copies_keeps_columns_and_empty_tables(spark):
-    docs = spark.createDataFrame([(i, t, "s") for i, t in EXACT], "doc_id long, text string, _gone string")
-    left = exact_dedup.drop_exact_copies(docs.withColumnRenamed("_gone", "source"))
-    assert left.columns == ["doc_id", "text", "source"]
-    assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 3, 6, 8, 9, 10, 11, 12]
+    docs = spark.createDataFrame([(i, t, "s", 1) for i, t in EXACT], "doc_id long, text string, gone string, gone_ int")
+    left = exact_dedup.drop_exact_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 0, 0, 0, 3, 6, 8, 9, 10, 11, 12, 20]
     assert exact_dedup.exact_dedup(docs.limit(0)).count() == 0
 
 
@@ -272,6 +274,17 @@ def test_containment_equals_brute_force(spark):
     assert left.columns == d.columns
 
 
+def test_dropping_stages_take_clashing_columns(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, words, "a", 1, 0), (2, words + " x", "b", 2, 0), (3, "other text", "c", 3, 0)],
+                                 "doc_id long, text string, gone string, _bad int, component_id int")
+    left = trie_join.drop_similar(docs, k=5, threshold=(80, 100))
+    assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [1, 3]
+    items = docs.where("doc_id = 3").select(F.col("doc_id").alias("item_id"), "text", "gone")
+    left = decontaminate.drop_contaminated(docs, items)
+    assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [1, 2]
+
+
 def test_containment_of_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     t = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
