@@ -56,8 +56,12 @@ def dedupe_by_key(
     return out.select(*[F.col(c) if c in keys else fields[c] for c in df.columns])
 
 
+#: Type of the column of rejected values: one entry for each value of a row that its rule could not read.
+REJECTED_TYPE = "array<struct<column_name:string,value:string,rule:string>>"
+
+
 def clean_columns(df: DataFrame, spec: Sequence[tuple[str, str, str]], on_malformed: str = "fail",
-                  keep: Sequence[str] = ()) -> DataFrame:
+                  keep: Sequence[str] = (), rejected: str | None = None) -> DataFrame:
     """Project raw string columns to typed, standardised ones.
 
     ``spec`` rows are ``(source, target, rule)`` where rule is one of
@@ -66,8 +70,22 @@ def clean_columns(df: DataFrame, spec: Sequence[tuple[str, str, str]], on_malfor
     (missing tokens to null first; ``id:long`` casts without the token
     step, as identifiers are expected to be present). ``keep`` columns pass
     through unchanged after the spec columns.
+
+    ``rejected`` names one more column, of type ``REJECTED_TYPE``: with
+    ``on_malformed="null"`` the values that are there but became null, as
+    they were read, with the rule; empty where there are none. It is made in
+    the same projection. A missing token is not malformed.
     """
+    cols, bad = _cleaned(spec, on_malformed)
+    if rejected:
+        cols.append(bad.alias(rejected))
+    return df.select(*cols, *[F.col(k) for k in keep])
+
+
+def _cleaned(spec: Sequence[tuple[str, str, str]], on_malformed: str) -> tuple[list[Column], Column]:
+    """The columns of :func:`clean_columns`, and the array of a row's rejected values."""
     cols: list[Column] = []
+    bad: list[Column] = []
     for source, target, rule in spec:
         if rule == "text":
             c = null_if_missing(source)
@@ -77,9 +95,18 @@ def clean_columns(df: DataFrame, spec: Sequence[tuple[str, str, str]], on_malfor
             c = title_case(source)
         elif rule == "raw":
             c = F.col(source)
-        elif rule.startswith("id:"):
-            c = typed(F.col(source), rule[3:], on_malformed)
         else:
-            c = typed(null_if_missing(source), rule, on_malformed)
+            kind = rule.removeprefix("id:")
+            c = typed(F.col(source) if rule.startswith("id:") else null_if_missing(source), kind, on_malformed)
+            if on_malformed == "null":
+                entry = F.struct(F.lit(source).alias("column_name"), F.col(source).alias("value"), F.lit(rule).alias("rule"))
+                bad.append(F.when(null_if_missing(source).isNotNull() & c.isNull(), entry))
         cols.append(c.alias(target))
-    return df.select(*cols, *[F.col(k) for k in keep])
+    found = F.filter(F.array(*bad), lambda e: e.isNotNull()) if bad else F.array()
+    return cols, found.cast(REJECTED_TYPE)
+
+
+def rejected_values(df: DataFrame, spec: Sequence[tuple[str, str, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` and ``column_name, value, rule`` for each value of ``df`` that its rule cannot read, one row each."""
+    _, bad = _cleaned(spec, "null")
+    return df.select(*keep, F.explode(bad).alias("_rejected")).select(*keep, "_rejected.*")

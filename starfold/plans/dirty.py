@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starfold.operators import analytics, quality
-from starfold.operators.cleanse import clean_columns, dedupe_exact
+from starfold.operators.cleanse import clean_columns, dedupe_exact, rejected_values
 from starfold.operators.mapping import clean_mapping
 from starfold.session import scratch_path
 from starfold.sources.bronze import CSV_FORMAT, all_string_schema, read_raw_csv, split_corrupt
@@ -41,10 +41,18 @@ def spoilt_parts(T) -> DataFrame:
                             pick("p_partkey", TOKENS, F.upper("p_type"), 11).alias("p_type"))
 
 
+PART_SPEC = [("p_partkey", "p_partkey", "id:long"), ("p_size", "p_size", "int"),
+             ("p_brand", "p_brand", "upper"), ("p_type", "p_type", "title")]
+
+
 def q_typed_cast(T) -> DataFrame:
     """Missing tokens and malformed numbers to null, the rest typed."""
-    return clean_columns(spoilt_parts(T), [("p_partkey", "p_partkey", "id:long"), ("p_size", "p_size", "int"),
-                                           ("p_brand", "p_brand", "upper"), ("p_type", "p_type", "title")], "null")
+    return clean_columns(spoilt_parts(T), PART_SPEC, "null")
+
+
+def q_rejected_values(T) -> DataFrame:
+    """Each malformed value with its row's key, column, text and rule."""
+    return rejected_values(spoilt_parts(T), PART_SPEC, keep=["p_partkey"])
 
 
 def spoilt_customers(T) -> DataFrame:
@@ -109,5 +117,5 @@ def q_totals_all_versions(T) -> DataFrame:
     return analytics.totals_by_member(fact_lines(T, customers), members, keys, ["c_mktsegment"], current_col=None)
 
 
-QUERIES = {"typed_cast": q_typed_cast, "dirty_gate_summary": q_dirty_gate_summary, "clean_mapping": q_clean_mapping,
+QUERIES = {"typed_cast": q_typed_cast, "rejected_values": q_rejected_values, "dirty_gate_summary": q_dirty_gate_summary, "clean_mapping": q_clean_mapping,
            "corrupt_rows": q_corrupt_rows, "fact_versions": q_fact_versions, "totals_all_versions": q_totals_all_versions}

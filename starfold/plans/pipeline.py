@@ -10,26 +10,33 @@ version file, or none.
 No earlier row is lost: Silver keeps each batch in a folder of its own; the
 fact takes a batch either as new truth for the years it delivers
 (``snapshot``) or row by row, by participation key (``incremental``); Type 1
-dimensions keep members that a batch does not name; of the Type 2 dimension
-only the current part is read and written again, closed versions are added.
+dimensions keep members that a batch does not name, and only buckets with
+changed members are written again; of the Type 2 dimension only the current
+part is read and written again, closed versions are added. What is written
+again must be, in number and in sum of row hashes, what was stored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.functions.columns import add_record_hash
 from starfold.operators import quality as Q
-from starfold.operators.cleanse import clean_columns, dedupe_by_key, dedupe_exact, require_not_null
+from starfold.operators.cleanse import clean_columns, dedupe_by_key, dedupe_exact, rejected_values, require_not_null
 from starfold.operators.dims import build_dimension
 from starfold.operators.facts import DimLookup, build_fact, class_counters
 from starfold.operators.mapping import ambiguous_mappings, apply_mapping, clean_mapping
 from starfold.operators.scd2 import Scd2Spec, scd2_init, scd2_merge
-from starfold.sources.bronze import all_string_schema, read_batch, read_raw_csv, split_corrupt, stamp_batch, write_batch
-from starfold.sources.versions import VersionedTables
+from starfold.plans import ledger
+from starfold.sources.bronze import CORRUPT_COL, all_string_schema, read_batch, read_raw_csv, split_corrupt, stamp_batch, write_batch
+from starfold.sources.versions import ALL, Parts, VersionedTables, part_key, totals
 
 # Fixed source layouts of the athlete-event inputs (column names as supplied).
 EVENT_COLUMNS = ["ID", "Name", "Sex", "Age", "Height", "Weight", "Team", "NOC", "Games", "Year",
@@ -69,6 +76,8 @@ MEDALS = {"gold_count": "Gold", "silver_count": "Silver", "bronze_count": "Bronz
 NOC_SPEC = Scd2Spec(
     business_key=("noc_code",), attributes=("region", "notes"), tracked=("region",), key_name="noc_key"
 )
+#: Parts of the Type 2 dimension.
+CURRENT, CLOSED = part_key("boolean", True), part_key("boolean", False)
 META = ["_ingested_at", "_source_filename", "_batch_date"]
 
 
@@ -96,6 +105,8 @@ class BatchReport:
     rejected_rows: dict[str, int] = field(default_factory=dict)
     silver_rows: dict[str, int] = field(default_factory=dict)
     dropped_rows: dict[str, int] = field(default_factory=dict)
+    #: Values of read lines that became null because their rule could not read them, by column.
+    rejected_values: dict[str, int] = field(default_factory=dict)
     #: Participation keys that occur more than once in the batch (reported, not enforced).
     repeated_keys: int = 0
     version: int = 0
@@ -114,11 +125,18 @@ def ingest_bronze(spark: SparkSession, input_path: str, reference_path: str, out
         ("noc_regions", f"{input_path}/{REFERENCE_FILE}", REFERENCE_COLUMNS, REFERENCE_FILE),
         ("reference/noc_code_mapping", f"{reference_path}/{MAPPING_FILE}", MAPPING_COLUMNS, MAPPING_FILE),
     ]
-    rows = {}
-    for name, path, cols, fname in sources:
+    def land(source) -> int:
+        name, path, cols, fname = source
         raw = read_raw_csv(spark, path, all_string_schema(cols))
-        rows[name] = write_batch(stamp_batch(raw, fname, batch_date), out.bronze(name), batch_date)
-    return rows
+        return write_batch(stamp_batch(raw, fname, batch_date), out.bronze(name), batch_date)
+
+    return dict(zip([x[0] for x in sources], together(land, sources), strict=True))
+
+
+def together(work: Callable, items: Iterable) -> list:
+    """``work`` on a few items at once: their Spark jobs do not depend on each other and share the cluster."""
+    with ThreadPoolExecutor(4) as pool:
+        return list(pool.map(work, items))
 
 
 def readable(spark: SparkSession, out: Layout, name: str, batch_date: str, report: BatchReport) -> DataFrame:
@@ -128,6 +146,16 @@ def readable(spark: SparkSession, out: Layout, name: str, batch_date: str, repor
     return good
 
 
+def set_aside_values(spark: SparkSession, lines: DataFrame, out: Layout, batch_date: str) -> dict[str, int]:
+    """Write each value that its rule cannot read to quarantine, with its whole line; returns their number by column."""
+    path = f"{out.root}/quarantine/athlete_events_values"
+    found = rejected_values(lines, EVENT_SPEC, keep=[*EVENT_COLUMNS, *META])
+    if not write_batch(found, path, batch_date):
+        return {}
+    rows = read_batch(spark, path, batch_date, found.schema).groupBy("column_name").count().collect()  # one for each column
+    return {r["column_name"]: r["count"] for r in rows}
+
+
 # --- Silver ---------------------------------------------------------------
 
 
@@ -167,14 +195,19 @@ def build_silver(spark: SparkSession, out: Layout, batch_date: str, report: Batc
     mapping = clean_code_mapping(readable(spark, out, "reference/noc_code_mapping", batch_date, report))
     Q.enforce([Q.Check("mapping ambiguity", ambiguous_mappings(
         mapping, "source_system", "source_noc_code", "canonical_noc_code"))])
-    events = transform_events(readable(spark, out, "athlete_events", batch_date, report), mapping, on_malformed)
+    lines = readable(spark, out, "athlete_events", batch_date, report)
+    if on_malformed == "null":
+        report.rejected_values = set_aside_values(spark, lines, out, batch_date)
+    events = transform_events(lines, mapping, on_malformed)
     ref = transform_reference(readable(spark, out, "noc_regions", batch_date, report), mapping)
-    for name, df, by in (("athlete_events", events, ["year"]), ("noc_regions", ref, [])):
-        rows = report.silver_rows[name] = write_batch(df, out.silver(name), batch_date, by)
+    tables = [("athlete_events", events, ["year"]), ("noc_regions", ref, [])]
+    for (name, _, _), rows in zip(tables, together(lambda t: write_batch(t[1], out.silver(t[0]), batch_date, t[2]), tables), strict=True):
+        report.silver_rows[name] = rows
         report.dropped_rows[name] = report.bronze_rows[name] - report.rejected_rows[name] - rows
         if not rows:
             raise Q.QualityError(f"silver_{name} is empty: 1 violation(s)")
-    return read_batch(spark, out.silver("athlete_events"), batch_date), read_batch(spark, out.silver("noc_regions"), batch_date)
+    return (read_batch(spark, out.silver("athlete_events"), batch_date, events.schema),
+            read_batch(spark, out.silver("noc_regions"), batch_date, ref.schema))
 
 
 # --- Gold -----------------------------------------------------------------
@@ -218,19 +251,36 @@ def gold(spark: SparkSession, output_path: str, table: str) -> DataFrame:
 
 DIM_KEYS = {"dim_athlete": ("athlete_key", ["athlete_id"]), "dim_games": ("games_key", ["games_name"]),
             "dim_event": ("event_key", ["sport", "event_name"])}
+#: Buckets of a Type 1 dimension; the first load decides.
+DIM_BUCKETS = 8
+
 
+def refresh_dimension(store: VersionedTables, members: DataFrame, table: str, keys: list[str], buckets: int) -> Parts:
+    """Put a batch's members into a stored dimension, bucket by bucket of the key.
 
-def with_earlier(new: DataFrame, earlier: DataFrame | None, keys: list[str]) -> DataFrame:
-    """``new`` and those rows of ``earlier`` whose keys it does not have."""
-    return new if earlier is None else new.unionByName(earlier.join(new.select(*keys), keys, "left_anti"))
+    Members that are stored as they are do not count as delivered, so only
+    buckets with new or changed members are touched, and only those with
+    changed ones are written again.
+    """
+    earlier = store.read(table)
+    if earlier is not None:
+        same = [members[c].eqNullSafe(earlier[c]) for c in members.columns]
+        members = members.join(earlier, same, "left_anti")
+    by = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return store.upsert(store.stage_by(members, table, by, "int"), table, keys, by, "int")
 
 
 def run_batch(spark: SparkSession, input_path: str, reference_path: str, output_path: str,
-              batch_date: str, on_malformed: str = "fail", batch_mode: str = "snapshot") -> BatchReport:
+              batch_date: str, on_malformed: str = "fail", batch_mode: str = "snapshot",
+              dim_buckets: int = DIM_BUCKETS) -> BatchReport:
     """Bronze -> Silver -> gates -> staged Gold -> gates -> one published version.
 
     ``batch_mode``: ``snapshot``, the batch holds all rows of the years it
-    delivers and replaces them; ``incremental``, it holds new or changed rows.
+    delivers (a missing year is a year, too) and replaces them;
+    ``incremental``, it holds new or changed rows. ``on_malformed``: ``fail``,
+    or ``null``, where each rejected value is written to quarantine with its
+    column, text and rule, and counted. ``dim_buckets`` holds for the first
+    load only.
     """
     if batch_mode not in ("snapshot", "incremental"):
         raise ValueError(f"batch_mode must be 'snapshot' or 'incremental', got {batch_mode!r}")
@@ -246,35 +296,78 @@ def run_batch(spark: SparkSession, input_path: str, reference_path: str, output_
     ]))
 
     store = VersionedTables(spark, out.gold(""))
-    staged = {name: store.stage(with_earlier(d, store.read(name), DIM_KEYS[name][1]), name)
-              for name, d in build_dims(events).items()}
-    current = store.read("dim_noc", ["true"])
+    buckets = store.info.get("dim_buckets", dim_buckets)
+    made = list(build_dims(events).items())
+    staged = dict(zip([n for n, _ in made], together(
+        lambda x: refresh_dimension(store, x[1], x[0], DIM_KEYS[x[0]][1], buckets), made), strict=True))
+    current = store.read("dim_noc", [CURRENT])
     if current is not None:
         Q.enforce([Q.late_batch(current, ref, NOC_SPEC, batch_date, "dim_noc")])
     report.dim_noc_mode = "initial" if current is None else "merge"
     merged = scd2_init(ref, NOC_SPEC, batch_date) if current is None else scd2_merge(current, ref, NOC_SPEC, batch_date)
     parts = store.stage_by(merged, "dim_noc", NOC_SPEC.is_current)
-    closed = store.tables.get("dim_noc", {}).get("false", []) + parts.get("false", [])
-    staged["dim_noc"] = {"true": parts["true"]} | ({"false": closed} if closed else {})
+    closed = store.tables.get("dim_noc", {}).get(CLOSED, []) + parts.get(CLOSED, [])
+    staged["dim_noc"] = {CURRENT: parts[CURRENT]} | ({CLOSED: closed} if closed else {})
     dims = {name: store.frame(p) for name, p in staged.items()}
 
-    fact = build_participation(events, dims, dims["dim_noc"])
-    years = [str(r["year"]) for r in events.select("year").distinct().collect()]  # as many as the batch delivers
+    parts = store.stage_by(build_participation(events, dims, dims["dim_noc"]), "fact_participation", "year", ranges=["year"])
+    fact = store.frame(parts)  # the batch's rows; those stored before passed when they were
     if batch_mode == "incremental":
-        fact = with_earlier(fact, store.read("fact_participation", years), ["participation_key"])
-    parts = store.stage_by(fact, "fact_participation", "year")
-    fact = store.frame(parts)
-    staged["fact_participation"] = store.tables.get("fact_participation", {}) | parts
-    whole = store.frame(staged["fact_participation"])
-    report.gate_counts.update(Q.enforce([
+        staged["fact_participation"] = store.upsert(parts, "fact_participation", ["participation_key"], "year", ranges=["year"])
+    else:
+        staged["fact_participation"] = store.tables.get("fact_participation", {}) | parts
+        store.proven("fact_participation", staged["fact_participation"], parts)
+    gates = [
         *[Q.duplicate_keys(dims[name], [key], name) for name, (key, _) in DIM_KEYS.items()],
         *[Q.empty_table(d, name) for name, d in dims.items()],
         Q.multiple_current_versions(dims["dim_noc"], NOC_SPEC, "dim_noc"),
         Q.duplicate_keys(dims["dim_noc"], ["noc_key"], "dim_noc"),
         Q.null_keys(fact, ["athlete_key", "games_key", "event_key", "noc_key"], "fact_participation"),
-        *[Q.orphan_keys(whole, dims[name], key, table="fact_participation")
+        *[Q.orphan_keys(fact, dims[name], key, table="fact_participation")
           for name, key in (*((n, k) for n, (k, _) in DIM_KEYS.items()), ("dim_noc", "noc_key"))],
-    ]))
+    ]
+    # Facts of earlier batches keep their dimension rows: no key that was stored may be gone.
+    for name, key in (*((n, k) for n, (k, _) in DIM_KEYS.items()), ("dim_noc", "noc_key")):
+        again = _rewritten(store.tables.get(name, {}), staged[name])
+        if again:
+            gates.append(Q.orphan_keys(store.frame(again), dims[name], key, table=f"earlier {name}"))
+    report.gate_counts.update(Q.enforce(gates))
     report.repeated_keys = Q.duplicate_keys(fact, ["participation_key"], "fact_participation").violations.count()
-    report.version = store.publish(staged, last_batch=batch_date)
+    stored = [v for v in totals(staged["fact_participation"]).values()]
+    lines = [*layer_lines(spark, out, batch_date, report),
+             ("fact", "fact_participation", *ledger.counted(fact, ["participation_key"])[0]),
+             ("stored", "fact_participation", sum(n for n, _ in stored), sum(h for _, h in stored))]
+    told = [(store.number + 1, date.fromisoformat(batch_date), layer, source, rows, Decimal(total)) for layer, source, rows, total in lines]
+    told = spark.createDataFrame(told, ledger.SCHEMA).coalesce(1)
+    staged[ledger.TABLE] = {ALL: store.tables.get(ledger.TABLE, {}).get(ALL, []) + store.stage(told, ledger.TABLE)[ALL]}
+    report.version = store.publish(staged, last_batch=batch_date, dim_buckets=buckets)
     return report
+
+
+def layer_lines(spark: SparkSession, out: Layout, batch_date: str, report: BatchReport) -> list[tuple[str, str, int, int]]:
+    """Rows and sums of the batch's files by layer and source."""
+    def bronze(source) -> list[tuple[str, str, int, int]]:
+        name, columns = source
+        whole, good = [*columns, CORRUPT_COL], F.col(CORRUPT_COL).isNull()
+        landed = read_batch(spark, out.bronze(name), batch_date)
+        all_of_it, read = ledger.counted(landed, whole, [F.lit(True), good])
+        aside = (0, 0)
+        if report.rejected_rows[name]:
+            aside = ledger.counted(read_batch(spark, f"{out.root}/quarantine/{name}", batch_date, landed.schema), whole)[0]
+        return [("landed", name, *all_of_it), ("read", name, *read), ("set_aside", name, *aside)]
+
+    def silver(source) -> list[tuple[str, str, int, int]]:
+        name, key = source
+        return [("silver", name, *ledger.counted(read_batch(spark, out.silver(name), batch_date), key)[0])]
+
+    steps = [(bronze, ("athlete_events", EVENT_COLUMNS)), (bronze, ("noc_regions", REFERENCE_COLUMNS)),
+             (bronze, ("reference/noc_code_mapping", MAPPING_COLUMNS)),
+             (silver, ("athlete_events", ["source_record_hash"])), (silver, ("noc_regions", ["record_hash"]))]
+    return [line for lines in together(lambda x: x[0](x[1]), steps) for line in lines]
+
+
+def _rewritten(earlier: Parts, now: Parts) -> Parts:
+    """Those pieces of an earlier version that the new one does not name."""
+    named = {p["path"] for held in now.values() for p in held}
+    gone = {k: [p for p in held if p["path"] not in named] for k, held in earlier.items()}
+    return {k: v for k, v in gone.items() if v}

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.operators.analytics import yearly_trend
+from starfold.plans.ledger import reconciliation
 from starfold.plans.pipeline import EVENT_COLUMNS, gold, run_batch
 from starfold.session import scratch_path
 
@@ -31,6 +32,7 @@ BATCH_1_END = "1999-01-01 00:00:00"
 SPLIT_PRICE = 150_000
 MAPPED_REGION = "AFRICA"
 RENAMED_REGION = "EUROPE"
+NO_YEAR = 7
 
 
 def _events(T, only: F.Column | None) -> DataFrame:
@@ -74,14 +76,31 @@ def _mapping(T) -> DataFrame:
     )
 
 
+def _without_year(events: DataFrame) -> DataFrame:
+    """Events of customers by ``NO_YEAR`` come without a year, in games of no year."""
+    none = F.pmod(F.col("ID").cast("long"), F.lit(NO_YEAR)) == 0
+    return events.withColumns({"Games": F.when(none, F.lit("Unknown Summer")).otherwise(F.col("Games")),
+                               "Year": F.when(none, F.lit("NA")).otherwise(F.col("Year")),
+                               "City": F.when(none, F.lit("NA")).otherwise(F.col("City"))})
+
+
+def _spoilt_reference(reference: DataFrame) -> DataFrame:
+    """For each line of the reference one more without a code, which must be dropped."""
+    return reference.union(reference.select(F.lit("N/A").alias("NOC"), "region", "notes"))
+
+
 def _write_csv(df: DataFrame, folder: str, name: str) -> None:
     """One CSV file per source (the pipeline reads ``<folder>/<name>``)."""
     (df.write.option("header", True).option("quote", '"').option("escape", '"')
      .csv(f"{folder}/{name}"))
 
 
-def run_two_batches(T, split: bool = False) -> str:
-    """Run both batches; return the output root. ``split``: each row is in one batch only."""
+def run_two_batches(T, split: bool = False, spoilt: bool = False) -> str:
+    """Run both batches; return the output root.
+
+    ``split``: each row is in one batch only. ``spoilt``: some rows come
+    without a year, and the reference has lines without a code.
+    """
     spark = T("orders").sparkSession
     root = scratch_path(spark, "pipeline-demo")
     ref_dir = f"{root}/in/reference"
@@ -91,8 +110,11 @@ def run_two_batches(T, split: bool = False) -> str:
     rows = [(cheap, BATCH_1_DATE), (~cheap, BATCH_2_DATE)] if split else [(early, BATCH_1_DATE), (None, BATCH_2_DATE)]
     for i, (only, date) in enumerate(rows, start=1):
         in_dir = f"{root}/in/batch_{i}"
-        _write_csv(_events(T, only), in_dir, "athlete_events.csv")
-        _write_csv(_reference(T, renamed=(i == 2)), in_dir, "noc_regions.csv")
+        events, reference = _events(T, only), _reference(T, renamed=(i == 2))
+        if spoilt:
+            events, reference = _without_year(events), _spoilt_reference(reference)
+        _write_csv(events, in_dir, "athlete_events.csv")
+        _write_csv(reference, in_dir, "noc_regions.csv")
         run_batch(spark, in_dir, ref_dir, f"{root}/out", date, batch_mode="incremental" if split else "snapshot")
     return f"{root}/out"
 
@@ -115,3 +137,15 @@ def q_pipeline_incremental(T) -> DataFrame:
     """
     out = run_two_batches(T, split=True)
     return yearly_trend(gold(T("orders").sparkSession, out, "fact_participation"), "year")
+
+
+def q_pipeline_null_years(T) -> DataFrame:
+    """As the incremental query, with rows that have no year in both batches: all of them stay."""
+    out = run_two_batches(T, split=True, spoilt=True)
+    return yearly_trend(gold(T("orders").sparkSession, out, "fact_participation"), "year")
+
+
+def q_pipeline_reconciliation(T) -> DataFrame:
+    """The ledger of both batches: rows by layer, and whether layers agree in number and sum of hashes."""
+    out = run_two_batches(T, split=True, spoilt=True)
+    return reconciliation(gold(T("orders").sparkSession, out, "ledger"))

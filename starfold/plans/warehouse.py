@@ -565,6 +565,18 @@ def q_pipeline_incremental(T: Loader) -> DataFrame:
     return q(T)
 
 
+def q_pipeline_null_years(T: Loader) -> DataFrame:
+    from starfold.plans.pipeline_demo import q_pipeline_null_years as q
+
+    return q(T)
+
+
+def q_pipeline_reconciliation(T: Loader) -> DataFrame:
+    from starfold.plans.pipeline_demo import q_pipeline_reconciliation as q
+
+    return q(T)
+
+
 def q_bronze_roundtrip(T: Loader) -> DataFrame:
     """Customer written as a raw CSV batch, read back by batch and typed."""
     from starfold.plans.bronze_demo import customer_roundtrip
@@ -614,4 +626,6 @@ QUERIES: dict[str, Callable[[Loader], DataFrame]] = {
     "pipeline_yearly_trend": q_pipeline_yearly_trend,
     "pipeline_dim_noc": q_pipeline_dim_noc,
     "pipeline_incremental": q_pipeline_incremental,
+    "pipeline_null_years": q_pipeline_null_years,
+    "pipeline_reconciliation": q_pipeline_reconciliation,
 }

@@ -142,6 +142,17 @@ def _gate_rows() -> str:
                                for name, q in rows)
 
 
+# Events of two batches of which some have no year; each row is in one batch (``first``: in the first one).
+_SPOILT_EVENTS = """src AS (
+  SELECT DISTINCT c.c_custkey, c.c_name, c.c_mktsegment, l.l_linenumber, l.l_quantity, p.p_size, c.c_nationkey,
+         CASE WHEN c.c_custkey % 7 = 0 THEN NULL ELSE CAST(year(o.o_orderdate) AS INTEGER) END AS year,
+         CASE WHEN c.c_custkey % 7 = 0 THEN -1 ELSE year(o.o_orderdate) END AS games, p.p_type, p.p_brand,
+         """ + MEDAL + """ AS medal, o.o_totalprice < 150000 AS first
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey
+)"""
+
+
 SQL: dict[str, str] = {
     "yearly_trend": f"""{FACT}
 SELECT year, count(*) AS participations, CAST(sum(medal_count) AS BIGINT) AS medals,
@@ -342,6 +353,38 @@ SELECT year, count(*) AS participations, count(medal) AS medals,
        CAST(sum(CASE WHEN medal = 'Bronze' THEN 1 ELSE 0 END) AS BIGINT) AS bronze_medals,
        round(CAST(count(medal) AS DOUBLE) / count(*), 4) AS medal_rate
 FROM stored GROUP BY year""",
+    "pipeline_null_years": """WITH """ + _SPOILT_EVENTS + """, later AS (SELECT DISTINCT c_custkey, games, p_brand FROM src WHERE NOT first),
+stored AS (
+  SELECT s.* FROM src s LEFT JOIN later n
+    ON n.c_custkey = s.c_custkey AND n.games = s.games AND n.p_brand = s.p_brand
+  WHERE NOT s.first OR n.c_custkey IS NULL
+)
+SELECT year, count(*) AS participations, count(medal) AS medals,
+       CAST(sum(CASE WHEN medal = 'Gold' THEN 1 ELSE 0 END) AS BIGINT) AS gold_medals,
+       CAST(sum(CASE WHEN medal = 'Silver' THEN 1 ELSE 0 END) AS BIGINT) AS silver_medals,
+       CAST(sum(CASE WHEN medal = 'Bronze' THEN 1 ELSE 0 END) AS BIGINT) AS bronze_medals,
+       round(CAST(count(medal) AS DOUBLE) / count(*), 4) AS medal_rate
+FROM stored GROUP BY year""",
+    "pipeline_reconciliation": """WITH """ + _SPOILT_EVENTS + """, later AS (SELECT DISTINCT c_custkey, games, p_brand FROM src WHERE NOT first),
+raw AS (
+  SELECT o.o_totalprice < 150000 AS first, count(*) AS n
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1
+),
+side AS (SELECT 2 * count(*) AS reference, count(*) FILTER (r_name = 'AFRICA') AS mapping, count(*) AS codes
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+facts AS (SELECT first, count(*) AS n FROM src GROUP BY 1),
+kept AS (
+  SELECT count(*) AS n FROM src s LEFT JOIN later x
+    ON x.c_custkey = s.c_custkey AND x.games = s.games AND x.p_brand = s.p_brand
+  WHERE s.first AND x.c_custkey IS NULL
+)
+SELECT CASE WHEN raw.first THEN DATE '2026-06-20' ELSE DATE '2026-06-21' END AS batch_date,
+       CAST(raw.n + reference + mapping AS BIGINT) AS landed, CAST(0 AS BIGINT) AS set_aside,
+       CAST(raw.n + reference + mapping AS BIGINT) AS "read", CAST(facts.n + codes AS BIGINT) AS silver, facts.n AS fact,
+       CAST(CASE WHEN raw.first THEN facts.n ELSE facts.n + kept.n END AS BIGINT) AS stored,
+       TRUE AS landed_agrees, TRUE AS fact_agrees
+FROM raw JOIN facts ON raw.first = facts.first, side, kept""",
 }
 
 
@@ -362,6 +405,9 @@ SQL |= {
 FROM (SELECT p_partkey, {picked('p_partkey', _TOKENS + _BAD, "' ' || p_size", 17)} AS size,
              {picked('p_partkey', _TOKENS, 'lower(p_brand)', 13)} AS brand,
              {picked('p_partkey', _TOKENS, 'upper(p_type)', 11)} AS kind FROM part) q""",
+    "rejected_values": f"""SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, 'p_size' AS column_name, size AS value, 'int' AS rule
+FROM (SELECT p_partkey, {picked('p_partkey', _TOKENS + _BAD, "' ' || p_size", 17)} AS size FROM part) q
+WHERE {null_if_missing('size')} IS NOT NULL AND TRY_CAST({null_if_missing('size')} AS INTEGER) IS NULL""",
     "dirty_gate_summary": f"""WITH {_SPOILT}
 SELECT 'nowhere is empty' AS "check", CAST(1 AS BIGINT) AS violations
 UNION ALL SELECT 'customer rows with null keys (c_custkey)', count(*) FROM c WHERE k IS NULL

@@ -62,9 +62,17 @@ def write_batch(df: DataFrame, path: str, batch_date: str | None = None, by: Seq
     return obs.get["rows"]
 
 
-def read_batch(spark: SparkSession, path: str, batch_date: str) -> DataFrame:
-    """One batch of a table: only its folder is listed and read."""
-    df = spark.read.option("basePath", path).parquet(batch_path(path, batch_date))
+def read_batch(spark: SparkSession, path: str, batch_date: str, schema: StructType | None = None) -> DataFrame:
+    """One batch of a table: only its folder is listed and read.
+
+    ``schema``: that of the rows written; without it the types of partition
+    columns are guessed from the folders' names, and one with nothing but
+    nulls has none.
+    """
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.parquet(batch_path(path, batch_date))
     return df.withColumn(BATCH_COL, F.to_date(F.col(BATCH_COL)))
 
 

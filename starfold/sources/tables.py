@@ -1,37 +1,10 @@
-"""Stored tables: existence, safe read-modify-overwrite."""
+"""Tables stored for the length of a session."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from pyspark.sql import DataFrame
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-
-from starfold.session import ensure_checkpoint_dir, scratch_path
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table."""
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
-
-    Unlike ``persist`` (best effort: evicted or lost blocks are recomputed
-    from the source files) the checkpoint survives executor loss, so a table
-    computed from files can then overwrite those same files.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from starfold.session import scratch_path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -39,31 +12,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def for_partitioned_write(df: DataFrame, *partition_cols: str) -> DataFrame:
-    """Group rows by output partition before a partitioned write.
-
-    ``rebalance`` lets AQE coalesce small tasks and split a hot partition
-    value (a year with a third of the rows) over several tasks, so the write
-    neither produces thousands of tiny files nor funnels one value into one
-    task as ``repartition(col)`` would.
-    """
-    return df.hint("rebalance", *partition_cols)
-
-
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
-    """Overwrite a Parquet table (only written partitions when ``dynamic``)."""
-    w = df.write.mode("overwrite")
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    else:
-        w = w.option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a table that ``df`` itself reads (read-modify-write)."""
-    write_table(materialize(df), path, partition_by)

@@ -1,6 +1,6 @@
 import pytest
 
-from starfold.operators.cleanse import clean_columns, dedupe_by_key, dedupe_exact, require_not_null
+from starfold.operators.cleanse import clean_columns, dedupe_by_key, dedupe_exact, rejected_values, require_not_null
 from starfold.operators.mapping import ambiguous_mappings, apply_mapping, clean_mapping
 
 
@@ -49,3 +49,16 @@ def test_mapping_clean_apply_and_ambiguity(spark):
     dup = m.unionByName(spark.createDataFrame([("noc_regions", "SIN", "SGX", None)], m.schema))
     amb = ambiguous_mappings(dup).collect()
     assert [(r.source_code, r.n_rows, r.n_canonical) for r in amb] == [("SIN", 2, 2)]
+
+
+def test_rejected_values_are_told_from_missing_ones(spark):
+    df = spark.createDataFrame([("1", " 7 ", "1.5"), ("x", "NA", ""), ("", "seven", "1,5"), (None, None, None), ("9" * 30, "2", "NULL")],
+                               "id string, n string, d string")
+    spec = [("id", "id", "id:long"), ("n", "n", "int"), ("d", "size", "double")]
+    got = clean_columns(df, spec, "null", rejected="bad").collect()
+    assert [(r["id"], r["n"], r["size"]) for r in got] == [(1, 7, 1.5), (None, None, None), (None, None, None), (None, None, None), (None, 2, None)]
+    assert [[tuple(e) for e in r["bad"]] for r in got] == [
+        [], [("id", "x", "id:long")], [("n", "seven", "int"), ("d", "1,5", "double")], [], [("id", "9" * 30, "id:long")]]
+    rows = sorted(tuple(r) for r in rejected_values(df, spec, keep=["n"]).collect())
+    assert rows == sorted([("NA", "id", "x", "id:long"), ("seven", "n", "seven", "int"), ("seven", "d", "1,5", "double"), ("2", "id", "9" * 30, "id:long")])
+    assert clean_columns(df.where("id = '1'"), spec, rejected="bad").first()["bad"] == []

@@ -144,10 +144,10 @@ def test_failure_before_the_publication_leaves_the_old_version(spark, workdir, m
     tables = ["dim_athlete", "dim_games", "dim_event", "dim_noc", "fact_participation"]
     before = {t: sorted(map(str, published(spark, out, t).collect())) for t in tables}
 
-    def fail(self, df, table, column):
+    def fail(self, df, table, *rest, **kw):
         if table == "fact_participation":
             raise OSError("lost")
-        return stage_by(self, df, table, column)
+        return stage_by(self, df, table, *rest, **kw)
 
     stage_by = VersionedTables.stage_by
     monkeypatch.setattr(VersionedTables, "stage_by", fail)
@@ -175,3 +175,74 @@ def test_an_empty_batch_replaces_its_predecessor_and_stops(spark, workdir):
         run_batch(spark, write_inputs(workdir, "batch_1", []), ref, out, B1)
     assert spark.read.parquet(f"{out}/bronze/athlete_events").count() == 0
     assert published(spark, out, "fact_participation").count() == 6
+
+
+def test_rows_without_a_year_stay_in_the_next_batches(spark, workdir):
+    ref, out = os.path.join(FIXTURES, "noc", "reference"), os.path.join(workdir, "out")
+    row = lambda i, games, year: [str(i), f"P{i}", "F", "20", "", "", "USA", "USA", games, year, "Summer", "Sydney",
+                                  "Judo", "Judo Open", ""]
+    run_batch(spark, write_inputs(workdir, "batch_1", EVENTS_1 + [row(20, "Unknown A", "")]), ref, out, B1)
+    run_batch(spark, write_inputs(workdir, "batch_2", [row(21, "Unknown B", "NA"), row(22, "2000 Summer", "2000")]),
+              ref, out, B2, batch_mode="incremental")
+    fact = published(spark, out, "fact_participation")
+    games = published(spark, out, "dim_games")
+    got = sorted(r.games_name for r in fact.where("year is null").join(games.select("games_key", "games_name"), "games_key").collect())
+    assert got == ["Unknown A", "Unknown B"] and fact.count() == 6 + 3
+    # as new truth, a batch with rows of no year replaces those of no year
+    run_batch(spark, write_inputs(workdir, "batch_2", [row(23, "Unknown C", "")]), ref, out, "2026-06-22")
+    assert published(spark, out, "fact_participation").where("year is null").count() == 1
+
+
+def test_only_touched_buckets_and_parts_are_written_again(spark, workdir):
+    from starfold.sources.versions import VersionedTables
+
+    ref, out = os.path.join(FIXTURES, "noc", "reference"), os.path.join(workdir, "out")
+    run_batch(spark, write_inputs(workdir, "batch_1", EVENTS_1), ref, out, B1)
+    before = VersionedTables(spark, f"{out}/gold").tables
+    again = [x for x in EVENTS_1 if x[0] in ("1", "4")]  # known members, two of them in years stored before
+    changed = [[x[0], "Ann Changed" if x[0] == "1" else x[1], *x[2:]] for x in again]
+    run_batch(spark, write_inputs(workdir, "batch_2", changed), ref, out, B2, batch_mode="incremental")
+    after = VersionedTables(spark, f"{out}/gold").tables
+    paths = lambda t: {p["path"] for held in t.values() for p in held}
+    for table in ("dim_games", "dim_event"):
+        assert paths(before[table]) == paths(after[table])
+    moved = [k for k in before["dim_athlete"] if before["dim_athlete"][k] != after["dim_athlete"].get(k)]
+    assert len(moved) == 1
+    assert before["fact_participation"]['["int", "2006"]'] == after["fact_participation"]['["int", "2006"]']
+    names = {r.athlete_id: r.athlete_name for r in published(spark, out, "dim_athlete").collect()}
+    assert len(names) == 5 and names[1] == "Ann Changed"
+    assert published(spark, out, "fact_participation").count() == 6
+
+
+def test_rejected_values_are_kept_with_their_lines_and_counted(spark, workdir):
+    ref, out = os.path.join(FIXTURES, "noc", "reference"), os.path.join(workdir, "out")
+    bad = [["30", "Lu", "F", "old", "1m70", "NA", "USA", "USA", "2000 Summer", "2000", "Summer", "Sydney", "Judo", "Judo Open", ""],
+           ["x31", "Mo", "F", "20", "", "", "USA", "USA", "2000 Summer", "2000", "Summer", "Sydney", "Judo", "Judo Open", ""]]
+    r = run_batch(spark, write_inputs(workdir, "batch_1", EVENTS_1 + bad), ref, out, B1, on_malformed="null")
+    assert r.rejected_values == {"Age": 1, "Height": 1, "ID": 1} and r.silver_rows["athlete_events"] == 7
+    rows = spark.read.parquet(f"{out}/quarantine/athlete_events_values").collect()
+    assert sorted((x["Name"], x["column_name"], x["value"], x["rule"]) for x in rows) == [
+        ("Lu", "Age", "old", "int"), ("Lu", "Height", "1m70", "double"), ("Mo", "ID", "x31", "id:long")]
+    r = run_batch(spark, write_inputs(workdir, "batch_1", EVENTS_1), ref, out, B1, on_malformed="null")
+    assert r.rejected_values == {} and spark.read.parquet(f"{out}/quarantine/athlete_events_values").count() == 0
+
+
+def test_the_ledger_reconciles_the_layers(spark, workdir):
+    from starfold.plans.ledger import reconciliation
+
+    ref, out = os.path.join(FIXTURES, "noc", "reference"), os.path.join(workdir, "out")
+    d = write_inputs(workdir, "batch_1", EVENTS_1)
+    with open(os.path.join(d, "athlete_events.csv"), "a") as fh:
+        fh.write("99,short line\n")
+    run_batch(spark, d, ref, out, B1)
+    run_batch(spark, d, ref, out, B1)  # a batch run again: its last run counts
+    run_batch(spark, write_inputs(workdir, "batch_2", EVENTS_2), ref, out, B2)
+    got = [r.asDict() for r in reconciliation(published(spark, out, "ledger")).orderBy("batch_date").collect()]
+    mapping = 1
+    assert [(r["landed"], r["set_aside"], r["read"], r["silver"], r["fact"], r["stored"]) for r in got] == [
+        (len(EVENTS_1) + 1 + 10 + mapping, 1, len(EVENTS_1) + 10 + mapping, 6 + 10, 6, 6),
+        (len(EVENTS_2) + 16 + mapping, 0, len(EVENTS_2) + 16 + mapping, 3 + 16, 3, 9)]
+    assert all(r["landed_agrees"] and r["fact_agrees"] for r in got)
+    # equal numbers of rows do not hide a changed one
+    changed = published(spark, out, "ledger").withColumn("sum", F.expr("if(layer = 'fact', sum + 1, sum)"))
+    assert not any(r["fact_agrees"] for r in reconciliation(changed).collect())

@@ -44,3 +44,48 @@ def test_late_batch(spark):
     inc = spark.createDataFrame([("x", "2")], "k string, a string")
     assert Q.late_batch(dim, inc, spec, "2026-01-01").violations.count() == 1
     assert Q.late_batch(dim, inc, spec, "2026-01-03").violations.count() == 0
+
+
+def test_checks_counted_together_equal_their_violations(spark):
+    """Nulls in keys, equal keys in several gates, composite keys, empty tables, references with nulls."""
+    df = spark.createDataFrame(
+        [(1, "a", 1, True), (1, "a", 2, True), (None, "b", 3, False), (None, None, 3, True), (2, " ", None, None), (3, "c", 9, True)],
+        "k int, s string, f long, is_current boolean")
+    ref = spark.createDataFrame([(1, "a"), (9, None), (None, "b")], "f int, s string")
+    spec = Scd2Spec(("k",), ("s",), ("s",), key_name="vk")
+    for table in (df, df.limit(0)):
+        checks = [
+            Q.empty_table(table, "t"), Q.null_keys(table, ["k", "f"], "t"), Q.null_keys(table, ["s"], "t", blank=True),
+            Q.duplicate_keys(table, ["k"], "t"), Q.duplicate_keys(table, ["s", "k"], "t"), Q.duplicate_keys(table, ["k", "s"], "again"),
+            Q.multiple_current_versions(table, spec, "t"), Q.current_version_violations(table, spec, "t"),
+            Q.reference_coverage(table, ref, "s", table="t"), Q.orphan_keys(table, ref, "f", table="t"),
+            Q.orphan_keys(table, ref, "f", table="with nulls", exclude_nulls=False),
+            Q.Check("alone", table.where("k = 1")),
+        ]
+        want = [c.violations.count() for c in checks]
+        got = {r["check"]: r["violations"] for r in Q.run_checks(checks).collect()}
+        assert [got[c.name] for c in checks] == want
+    assert len(got) == len(checks) and want[0] == 1
+
+
+def test_a_table_is_scanned_once_for_all_its_checks(spark, workdir, capsys):
+    path = f"{workdir}/t"
+    spark.range(100).selectExpr("id as k", "id % 7 as f", "cast(id as string) as s").write.parquet(path)
+    df, ref = spark.read.parquet(path), spark.range(7).withColumnRenamed("id", "f")
+    Q.run_checks([Q.empty_table(df, "t"), Q.null_keys(df, ["k", "s"], "t"), Q.duplicate_keys(df, ["k"], "t"),
+                  Q.duplicate_keys(df, ["s", "f"], "t"), Q.orphan_keys(df, ref, "f", table="t")]).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
+
+
+def test_worst_first_orders_by_count_then_keys(spark):
+    v = spark.createDataFrame([("b", 2), ("a", 2), ("c", 9), (None, 1)], "code string, count long")
+    assert [tuple(r) for r in Q.worst_first(v).collect()] == [("c", 9), ("a", 2), ("b", 2), (None, 1)]
+    assert [r["code"] for r in Q.worst_first(v, n=2).collect()] == ["c", "a"]
+
+
+def test_yearly_trend_is_in_ascending_order(spark):
+    from __spark_entry__ import entry
+
+    years = [r["year"] for r in entry(spark).collect()]
+    assert years == sorted(years) and len(years) > 3

@@ -1,7 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
-
 from starfold.sources.bronze import (
     all_string_schema,
     read_batch,
@@ -10,7 +8,6 @@ from starfold.sources.bronze import (
     stamp_batch,
     write_batch,
 )
-from starfold.sources.tables import replace_table, table_exists
 
 
 def test_corrupt_lines_are_captured_and_quarantined(spark, workdir):
@@ -38,10 +35,11 @@ def test_batches_replace_only_their_partition(spark, workdir):
     assert set(one.columns) >= {"v", "_ingested_at", "_source_filename", "_batch_date"}
 
 
-def test_replace_table_reads_and_overwrites_same_path(spark, workdir):
+
+def test_a_batch_keeps_the_types_of_its_partition_columns(spark, workdir):
     path = os.path.join(workdir, "t")
-    spark.createDataFrame([(1,), (2,)], "x long").write.parquet(path)
-    assert table_exists(spark, path) and not table_exists(spark, path + "_missing")
-    cur = spark.read.parquet(path)
-    replace_table(cur.withColumn("x", F.col("x") * 10), path)
-    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [10, 20]
+    df = spark.createDataFrame([("a", None, "01")], "v string, year int, code string")
+    write_batch(df, path, "2026-01-01", ["year", "code"])
+    back = read_batch(spark, path, "2026-01-01", df.schema)
+    assert [(r["v"], r["year"], r["code"]) for r in back.collect()] == [("a", None, "01")]
+    assert dict(back.dtypes) == {"v": "string", "year": "int", "code": "string", "_batch_date": "date"}
