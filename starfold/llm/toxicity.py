@@ -19,26 +19,32 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starfold.llm import tokens as T
-from starfold.llm.base import fold, table
+from starfold.llm.base import fold, table, without_ids
 
-WINDOW, STRIDE = 40, 30
+#: Windows begin every ``STRIDE`` words, so that a passage of up to 20 words is whole in one of them.
+WINDOW, STRIDE = 40, 20
 ROWS, DIM, HIDDEN = 1 << 18, 16, 8
 RUNS = (3, 4, 5)
-#: Bounds of the training sample: texts of each label, and characters of a text that may be in it.
+#: Bounds of the training sample: texts of each label, characters of a text that may be in it, and of all texts of a label.
 SAMPLE = {1: 1_500, 0: 3_500}
 SAMPLE_CHARS = 20_000
+SAMPLE_TOTAL = {1: 3_000_000, 0: 6_000_000}
 EPOCHS, BATCH, RATE = 5, 512, 0.01
 #: Word vectors learn more slowly than the network, so that it does not learn the sample by heart.
 EMB_RATE = 0.4
 THRESHOLD = 0.7
+#: Weight of the calibration's prior (slope 1, shift 0).
+PRIOR = 0.02
 #: Word types are prepared in parts of this many.
 PART = 8_192
-#: Texts are scored in slices of this many bytes.
-SLICE = 1 << 22
+#: Texts are scored in slices of this many bytes; those to learn from are prepared in slices of the other.
+SLICE, TRAIN_SLICE = 1 << 22, 1 << 19
+#: Windows that go through the network together.
+TOGETHER = 1_024
 
 #: Words are runs of ASCII letters and digits and of bytes of other characters.
 NOT_WORD = np.ones(256, dtype=bool)
@@ -195,13 +201,29 @@ class Network:
 
 
 class Prepared:
-    """Word types and windows of a list of texts."""
-
-    def __init__(self, texts: list[bytes]):
-        w = T.Words(texts, blank=NOT_WORD)
-        _, pick, self.type = np.unique(w.hashes(), return_index=True, return_inverse=True)
-        self.types = features(w, pick)
-        self.begin, self.size, self.many = windows(w.first)
+    """Word types and windows of a list of texts, which are gone through in parts of ``part`` bytes."""
+
+    def __init__(self, texts: list[bytes], part: int = SLICE):
+        known, seen, types, first = np.zeros(0, np.uint64), [], [], [np.zeros(1, np.int64)]
+        number = np.zeros(0, np.int32)  # of each known hash, sorted like it
+        for a, b in T.slices(texts, part):
+            w = T.Words(texts[a:b], blank=NOT_WORD)
+            one, pick, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
+            at = np.searchsorted(known, one)
+            new = np.ones(len(one), dtype=bool)
+            inside = at < len(known)
+            new[inside] = known[at[inside]] != one[inside]
+            types.append(features(w, pick[new]))
+            number = np.insert(number, at[new], len(known) + np.arange(int(new.sum()), dtype=np.int32))
+            known = np.insert(known, at[new], one[new])
+            seen.append(number[np.searchsorted(known, one)][back])
+            first.append(first[-1][-1] + w.first[1:])
+        join = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+        self.type = join(seen, np.int32)
+        base = np.cumsum([0, *(len(t[1]) for t in types)])
+        self.types = (join([t[0] for t in types], np.int64), join([t[1] for t in types], np.int32),
+                      join([t[2] + n for t, n in zip(types, base[:-1], strict=True)], np.int64))
+        self.begin, self.size, self.many = windows(np.concatenate(first))
 
     def batch(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions (L x B) of the windows ``which`` and where they are not padding."""
@@ -210,60 +232,88 @@ class Prepared:
         return self.type[self.begin[which] + np.minimum(steps, self.size[which] - 1)], real
 
 
-def text_logits(net: Network, texts: list[bytes]) -> np.ndarray:
+def text_logits(net: Network, texts: list[bytes] | Prepared) -> np.ndarray:
     """The highest window's logit of each text; -inf without words."""
-    out = np.full(len(texts), -np.inf, dtype=np.float32)
-    p = Prepared(texts)
+    p = texts if isinstance(texts, Prepared) else Prepared(texts)
+    out = np.full(len(p.many), -np.inf, dtype=np.float32)
     if len(p.begin):
         x = net.embed(*p.types)
         logit = np.empty(len(p.begin), np.float32)
         order = np.argsort(-p.size, kind="stable")  # windows of like length together: little padding
-        for i in range(0, len(order), 4096):
-            part = order[i : i + 4096]
+        for i in range(0, len(order), TOGETHER):
+            part = order[i : i + TOGETHER]
             logit[part] = net.forward(x, *p.batch(part))
         has = p.many > 0
         out[has] = np.maximum.reduceat(logit, (np.cumsum(p.many) - p.many)[has])
     return out
 
 
-def evidence(p: Prepared, labels: np.ndarray) -> np.ndarray:
-    """For each row of the hashed table, how much oftener toxic texts hold it than clean ones; 0 if seen in one text only."""
+def evidence(p: Prepared, labels: np.ndarray, aside: np.ndarray) -> np.ndarray:
+    """For each row of the hashed table, how much oftener toxic texts hold it than clean ones; 0 if seen in one text only.
+
+    Texts ``aside`` do not count.
+    """
     row, runs, begin = p.types
     ends = np.append(begin, len(runs))
     cut = np.concatenate([[0], np.cumsum(p.many)])
     held = np.zeros((2, ROWS))
     for i, y in enumerate(labels.tolist()):
-        if p.many[i]:
+        if p.many[i] and not aside[i]:
             first, last = cut[i], cut[i + 1] - 1
             types = np.unique(p.type[p.begin[first] : p.begin[last] + p.size[last]])
             size = ends[types + 1] - ends[types]
             mine = np.repeat(ends[types] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
             held[y, np.unique(np.concatenate([row[types], runs[mine]]))] += 1
-    n = np.bincount(labels, minlength=2)
+    n = np.bincount(labels[~aside], minlength=2)
     odds = np.log((held[1] + 0.5) / (n[1] + 1)) - np.log((held[0] + 0.5) / (n[0] + 1))
     return (np.maximum(odds, 0) * np.maximum(held[1] - 1, 0) / (held[1] + 1 + 0.02 * n[1]) / 3).astype(np.float32)
 
 
+def _calibrated(a: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the weighted logistic regression of ``y`` on ``a``, with a small prior that keeps them finite."""
+
+    def loss(v: np.ndarray) -> float:
+        z = v[0] * a + v[1]
+        return float((w * (np.logaddexp(0, z) - y * z)).sum() + PRIOR * ((v[0] - 1) ** 2 + v[1] ** 2))
+
+    v = np.array([1.0, 0.0])
+    for _ in range(100):  # Newton steps, halved until they help
+        q = 1 / (1 + np.exp(-np.clip(v[0] * a + v[1], -500, 500)))
+        s = w * q * (1 - q)
+        gradient = np.array([(w * (q - y) * a).sum() + 2 * PRIOR * (v[0] - 1), (w * (q - y)).sum() + 2 * PRIOR * v[1]])
+        hessian = np.array([[(s * a * a).sum() + 2 * PRIOR, (s * a).sum()], [(s * a).sum(), s.sum() + 2 * PRIOR]])
+        move, now = np.linalg.solve(hessian, gradient), loss(v)
+        while np.abs(move).max() > 1e-9 and loss(v - move) > now:
+            move = move / 2
+        v = v - move
+        if np.abs(move).max() < 1e-7:
+            break
+    return float(v[0]), float(v[1])
+
+
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
     """Fit on labelled texts. Without a text of either label every score is 0 or, with toxic ones only, 1/2."""
     net = Network.new(seed)
     r = np.random.default_rng(seed)
-    p = Prepared(texts)
+    many, p = len(texts), Prepared(texts, TRAIN_SLICE)
+    del texts
+    T._powers.clear()
     if not len(p.begin) or len(set(labels[p.many > 0].tolist())) < 2:
         net.p["out"][:] = 0
         net.shift = 0.0 if labels.any() else -30.0
         return net
-    owner = np.repeat(np.arange(len(texts)), p.many)
-    # Every fourth clean text is left out of training: calibration needs clean texts that were not learned.
-    aside = (labels == 0) & (np.cumsum(labels == 0) % 4 == 0)
-    clean = np.flatnonzero((labels[owner] == 0) & ~aside[owner])
-    clean = clean if len(clean) else np.flatnonzero(labels[owner] == 0)
-    toxic = np.flatnonzero(labels[owner] == 1)
+    owner = np.repeat(np.arange(many), p.many)
+    # Every fourth text of either label is left out of training: calibration needs texts that were not learned.
+    aside = np.where(labels == 1, np.cumsum(labels == 1), np.cumsum(labels == 0)) % 4 == 0
+    clean, toxic = (np.flatnonzero((labels[owner] == y) & ~aside[owner]) for y in (0, 1))
+    if not (len(clean) and len(toxic)):
+        aside[:] = False
+        clean, toxic = (np.flatnonzero(labels[owner] == y) for y in (0, 1))
     first, second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
     row, runs, begin = p.types
     count = np.diff(np.append(begin, len(runs)))
     # Start from what texts of either label hold: the first component of each row's vector is its evidence.
-    prior = evidence(p, labels)
+    prior = evidence(p, labels, aside)
     net.p["emb"][:, 0] += prior
     own = np.maximum.reduceat(prior[runs], begin) + prior[row]
     hint = np.array([own[p.type[b : b + n]].max() for b, n in zip(p.begin.tolist(), p.size.tolist(), strict=True)], np.float32)
@@ -275,8 +325,8 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
     for epoch in range(epochs):
         x, score = net.embed(*p.types), hint.copy()
         if epoch:
-            for i in range(0, len(score), 4096):
-                part = np.arange(i, min(i + 4096, len(score)))
+            for i in range(0, len(score), TOGETHER):
+                part = np.arange(i, min(i + TOGETHER, len(score)))
                 score[part] = net.forward(x, *p.batch(part))
         best = toxic[np.lexsort((-score[toxic], owner[toxic]))]
         best = best[np.unique(owner[best], return_index=True)[1]]
@@ -314,22 +364,19 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
                 second[k][part] = 0.99 * second[k][part] + 0.01 * d * d
                 fix = np.float32(np.sqrt(1 - 0.99**step) / (1 - 0.9**step))
                 net.p[k][part] -= np.float32(rate * (EMB_RATE if k == "emb" else 1)) * fix * first[k][part] / (np.sqrt(second[k][part]) + np.float32(1e-6))
+    del first, second
     # Calibrate on whole texts: logistic regression of the label on the highest logit.
-    top = text_logits(net, texts)
-    ok = np.isfinite(top) & ((labels == 1) | aside | ~aside.any())
-    a, y = top[ok].astype(np.float64), labels[ok].astype(np.float64)
-    w = np.where(y == 1, 1.0, (labels == 0).sum() / max((y == 0).sum(), 1))
-    slope, shift = 1.0, 0.0
-    for _ in range(50):  # Newton steps with a small prior that keeps the slope finite
-        q = 1 / (1 + np.exp(-np.clip(slope * a + shift, -30, 30)))
-        s = w * q * (1 - q) + 1e-6
-        gradient = np.array([(w * (q - y) * a).sum() + 0.5 * (slope - 1), (w * (q - y)).sum() + 0.5 * shift])
-        hessian = np.array([[(s * a * a).sum() + 0.5, (s * a).sum()], [(s * a).sum(), s.sum() + 0.5]])
-        move = np.linalg.solve(hessian, gradient)
-        slope, shift = slope - move[0], shift - move[1]
-        if np.abs(move).max() < 1e-6:
-            break
-    net.slope, net.shift = (float(slope), float(shift)) if slope > 0 else (1.0, 0.0)
+    top = text_logits(net, p)
+    ok = np.isfinite(top)
+    for y in (0, 1):
+        mine = ok & (labels == y)
+        ok &= (labels != y) | aside | ~(mine & aside).any()
+    # A toxic text below the typical clean one shows nothing that the network knows: it must not flatten the curve.
+    ok &= (labels == 0) | (top >= np.median(top[ok & (labels == 0)]))
+    a, y = top[ok].astype(np.float64), labels[ok]
+    w = np.where(y == 1, (labels == 1).sum() / max((y == 1).sum(), 1), (labels == 0).sum() / max((y == 0).sum(), 1))
+    slope, shift = _calibrated(a, y, w)
+    net.slope, net.shift = (slope, shift) if slope > 0 else (1.0, 0.0)
     return net
 
 
@@ -338,23 +385,35 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=None, seed: int = 7) -> Netw
 
     ``labels``: ``doc_id, toxic``. ``allowed``: condition on ``doc_id`` that a
     row must meet to be learned from. At most ``SAMPLE`` ids of each label, by
-    a hash of the id, and of them the texts of up to ``SAMPLE_CHARS``
-    characters are read.
+    a hash of the id; of them the texts of up to ``SAMPLE_CHARS`` characters,
+    in the same order, as long as they have ``SAMPLE_TOTAL`` characters
+    together. An id with both labels is toxic; of an id's texts the smallest
+    counts.
     """
     rows = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null")
     if allowed is not None:
         rows = rows.where(allowed)
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = {}
     for y, n in SAMPLE.items():
         for r in rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect():
             ids[r["doc_id"]] = y
     if not ids:
         return train([], np.zeros(0, int), seed)
-    chosen = docs.sparkSession.createDataFrame([(k, v) for k, v in ids.items()], "_id long, toxic int")
+    spark = docs.sparkSession
+    chosen = spark.createDataFrame([(k, v) for k, v in ids.items()], "_id long, toxic int")
     got = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # the sample's bound
-           .where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "toxic", "text").toPandas())
-    got = got.drop_duplicates("doc_id").sort_values("doc_id")
-    return train(T.utf8(got["text"]), got["toxic"].to_numpy(), seed)
+           .where(F.length("text") <= SAMPLE_CHARS).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")  # the sample's texts only
+    got = got.withColumn("sofar", F.sum(F.length("text")).over(order))
+    enough = [(F.col("toxic") == y) & (F.col("sofar") <= n) for y, n in SAMPLE_TOTAL.items()]
+    got = got.where(enough[0] | enough[1]).orderBy("doc_id").select("toxic", F.col("text").cast("binary").alias("text"))
+    got = got.toArrow()
+    truth, texts = got.column("toxic").to_numpy(), got.column("text").to_pylist()
+    del got
+    handed = [texts]
+    del texts
+    return train(handed.pop(), truth, seed)
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -384,8 +443,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, learn_from: DataFrame, allowe
     Ids are expected to be unique but for repeated rows; a null id stays.
     """
     bad = score(docs, fit(learn_from, labels, allowed)).where(F.col("score") >= THRESHOLD)
-    bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    return without_ids(docs, bad)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,76 @@ def test_scores_do_not_depend_on_the_batch():
     assert np.allclose(whole, alone, atol=1e-4)
 
 
+def plain_logit(net, text):
+    """The highest window's logit, one word and one number at a time."""
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    sig = lambda x: 1 / (1 + math.exp(-x))
+    words = [w.lower() for w in re.findall(rb"[A-Za-z0-9\x80-\xff]+", text)]
+    row = lambda h: p["emb"][int(h) % toxicity.ROWS]
+
+    def vector(w):
+        whole = T.span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]
+        marked, runs = b" " + w + b" ", []
+        for k in toxicity.RUNS:
+            for i in range(len(marked) - k + 1):
+                code = k
+                for c in marked[i : i + k]:
+                    code = (code << 8 | c) % (1 << 64)
+                runs.append(row(T.mix(np.array([code], np.uint64))[0]))
+        return row(whole) + np.mean(runs, axis=0)
+
+    def states(xs, d):
+        h, out = np.zeros(toxicity.HIDDEN), []
+        for x in xs:
+            g, a = x @ p[f"w{d}"] + p[f"c{d}"], h @ p[f"u{d}"]
+            n = toxicity.HIDDEN
+            new = []
+            for j in range(n):
+                r, z = sig(g[j] + a[j]), sig(g[n + j] + a[n + j])
+                c = math.tanh(g[2 * n + j] + r * a[2 * n + j])
+                new.append((1 - z) * c + z * h[j])
+            h = np.array(new)
+            out.append(h)
+        return out
+
+    best = -math.inf
+    for begin in [0, *range(toxicity.STRIDE, max(len(words) - toxicity.WINDOW + toxicity.STRIDE, 1), toxicity.STRIDE)]:
+        xs = [vector(w) for w in words[begin : begin + toxicity.WINDOW]]
+        if not xs:
+            continue
+        both = [np.concatenate(x) for x in zip(states(xs, "f"), states(xs[::-1], "b")[::-1], strict=True)]
+        weight = [math.exp(float(s @ p["att"])) for s in both]
+        pooled = sum(w * s for w, s in zip(weight, both, strict=True)) / sum(weight)
+        best = max(best, float(pooled @ p["out"] + p["bias"][0]))
+    return best
+
+
+def test_scores_equal_a_plain_forward_pass():
+    texts = [t.encode() for _, t, _ in toxic_texts(40, 5)] + [b"", b" .,", "é Ünï\u4e2d".encode(), b"one", b"w " * 41, b"w v " * 30]
+    net = toxicity.train(texts[:40], np.array([0, 1] * 20))
+    want = [plain_logit(net, t) for t in texts]
+    assert np.allclose(toxicity.text_logits(net, texts), want, atol=2e-3)
+    small = toxicity.text_logits(net, toxicity.Prepared(texts, 200))  # prepared in many parts
+    assert np.allclose(small, want, atol=2e-3)
+
+
+def test_calibration_of_separable_scores_stays_finite():
+    slope, shift = toxicity._calibrated(np.array([-5.0, -4, -4, 3, 4]), np.array([0, 0, 0, 1, 1]), np.ones(5))
+    assert 0 < slope < 10 and -5 * slope + shift < 0 < 3 * slope + shift
+
+
+def test_the_sample_is_bounded_and_both_labels_count_as_toxic(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, seed: seen.update(texts=texts, labels=labels.tolist()))
+    monkeypatch.setattr(toxicity, "SAMPLE_TOTAL", {1: 25, 0: 50})
+    docs = spark.createDataFrame([(i, "0123456789") for i in range(40)] + [(40, None), (0, "zz")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(41)] + [(0, 1)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels)
+    assert seen["labels"].count(0) == 5 and seen["labels"].count(1) in (2, 3)
+    toxicity.fit(docs.where("doc_id = 0"), labels)
+    assert seen["texts"] == [b"0123456789"] and seen["labels"] == [1]
+
+
 @pytest.mark.parametrize("labels", [[], [0, 0], [1, 1]])
 def test_training_without_both_labels(labels):
     net = toxicity.train([b"some words"] * len(labels), np.array(labels, dtype=int))
