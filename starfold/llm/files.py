@@ -12,6 +12,16 @@ import re
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's URI: without a scheme it is in Spark's default file system, which tasks do not know."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    if whole.getScheme() == "file":
+        return f"file://{whole.getPath()}"
+    return whole.toString()
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:

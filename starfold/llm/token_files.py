@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from starfold.llm import tokens as T
 from starfold.llm.base import staged, table
-from starfold.llm.files import new_file, read_file
+from starfold.llm.files import new_file, qualified, read_file
 from starfold.llm.spans import SpanCache, gather
 from starfold.session import scratch_path
 
@@ -224,6 +224,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
     last = [] if end_id is None else [end_id]
+    folder = qualified(docs.sparkSession, folder)
 
     def write(batches):
         number = TaskContext.get().partitionId()

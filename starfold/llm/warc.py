@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm.base import staged, table
-from starfold.llm.files import new_file, read_file
+from starfold.llm.files import new_file, qualified, read_file
 from starfold.session import scratch_path
 
 #: Payloads of fewer bytes are always stored.
@@ -160,10 +160,13 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("key", url_key("url"))
     shared = (rows.where(F.octet_length("payload") >= LEAST_REVISIT).groupBy("digest")
               .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null"))
-    rows = rows.join(shared.select("digest", "first"), "digest", "left")
+    # Stored, so that the join is free to split a payload that very many pages share.
+    rows = rows.join(staged(shared.select("digest", "first"), "payloads"), "digest", "left")
     rows = rows.select("page_id", "url", "payload", "digest", "key",
                        F.when(F.col("page_id").isNull() | (F.col("first") != F.col("page_id")), F.col("first")).alias("first"))
 
+    folder = qualified(pages.sparkSession, folder)
+
     def write(batches):
         out = uri = None
         at = 0
@@ -202,6 +205,8 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
     rows = captures.select(*_PLACE_NAMES).repartitionByRange(n, "key", "page_id", "uri", "offset")
     rows = rows.sortWithinPartitions("key", "page_id", "uri", "offset")
 
+    folder = qualified(captures.sparkSession, folder)
+
     def write(batches):
         shard = TaskContext.get().partitionId()
         out = uri = None
@@ -238,50 +243,105 @@ def _lines(reader: Reader, uri: str, offset: int, length: int) -> list[list]:
     return [json.loads(x) for x in data.split("\n")]
 
 
-def read_all(directory: DataFrame) -> DataFrame:
-    """Every capture of the index, from its record: a range read for each block, then one for each record.
+_READ_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+_READ_NAMES = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "key"]
+
+
+class Blocks:
+    """A sorted run of index blocks, searched by bisection: first their first keys, then one block's lines."""
+
+    def __init__(self, reader: Reader):
+        self.reader, self.rows, self.firsts = reader, [], []
+        self.held: tuple[int, list, list] = (-1, [], [])  # the block read last, its lines and their keys
+
+    def add(self, first: str, last: str, uri: str, offset: int, length: int) -> None:
+        self.rows.append((last, uri, offset, length))
+        self.firsts.append(first)
+
+    def places(self, key: str) -> Iterator[list]:
+        """The index lines of a key; a key's lines may go on in the next blocks."""
+        for i in range(max(bisect_left(self.firsts, key) - 1, 0), bisect_right(self.firsts, key)):
+            if self.rows[i][0] >= key:
+                if self.held[0] != i:
+                    lines = _lines(self.reader, *self.rows[i][1:])
+                    self.held = i, lines, [x[1] for x in lines]
+                _, lines, keys = self.held
+                yield from lines[bisect_left(keys, key) : bisect_right(keys, key)]
+
+
+def lookup(wanted: DataFrame, directory: DataFrame, key_col: str = "key") -> DataFrame:
+    """The captures of all keys of ``wanted``, read from their records.
+
+    Each key goes to the shards of the index whose range holds it (several,
+    if the key has very many captures); a task takes a shard's part of the
+    directory, then the keys that are wanted from it in order, bisects the
+    directory, reads one block, bisects that, and reads the records' ranges
+    of bytes. Repeated keys count once; null and unknown keys, and an empty
+    index, give nothing.
 
     Columns: ``page_id, payload_bytes, payload_digest, record_type, refers_to, key``.
     """
-    n = int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = directory.select("uri", "offset", "length").repartition(n)
+    spark = directory.sparkSession
+    # A row for each shard, as many as the partitions that wrote the index.
+    ranges = directory.groupBy("shard").agg(F.min("first_key").alias("first"), F.max("last_key").alias("last")).orderBy("shard").collect()
+    shared = spark.sparkContext.broadcast(([r["first"] for r in ranges], [r["last"] for r in ranges], [r["shard"] for r in ranges]))
 
-    def read(batches):
-        reader = Reader()
+    def deal(batches):
+        firsts, lasts, shards = shared.value
         for batch in batches:
-            for place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out = []
-                for _, key, uri, at, size, _ in sorted(_lines(reader, *place), key=lambda x: x[2:4]):
-                    c = reader.record(uri, at, size)
-                    out.append((c.page, c.size, c.digest, c.kind, c.refers_to, key))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _READ_TYPES, strict=True)],
-                    ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "key"])
+            rows = [(shards[i], key) for key in batch.column(0).to_pylist()
+                    for i in range(bisect_left(lasts, key), bisect_right(firsts, key))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())],
+                                             ["shard", "key"])
 
-    return rows.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, "
-                                 "refers_to long, key string")
+    keys = wanted.select(F.col(key_col).alias("key")).where("key is not null").distinct().mapInArrow(deal, "shard long, key string")
+    blocks = directory.select("shard", F.lit(0).alias("kind"), "block", F.col("first_key").alias("key"), "last_key", "uri", "offset", "length")
+    asked = keys.select("shard", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("block"), "key")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = blocks.unionByName(asked, allowMissingColumns=True).repartitionByRange(n, "shard")
 
+    def read(batches):
+        reader = Reader()
+        shard, run, found = None, Blocks(reader), []
 
-_READ_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+        def records(lines):
+            out = []
+            for _, key, uri, at, size, _ in sorted(lines, key=lambda x: x[2:4]):
+                c = reader.record(uri, at, size)
+                out.append((c.page, c.size, c.digest, c.kind, c.refers_to, key))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _READ_TYPES, strict=True)], _READ_NAMES)
+
+        for batch in batches:
+            for at, kind, _, key, last, uri, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != shard:
+                    shard, run = at, Blocks(reader)
+                if kind == 0:
+                    run.add(key, last, uri, offset, length)
+                    continue
+                for line in run.places(key):
+                    found.append(line)
+                    if len(found) == BLOCK_LINES:
+                        yield records(found)
+                        found = []
+        if found:
+            yield records(found)
+
+    return both.sortWithinPartitions("shard", "kind", "block", "key").mapInArrow(
+        read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, key string")
 
 
 class CaptureIndex:
-    """Lookups in an index, by bisection of its directory and of one block."""
+    """Lookups of single keys from the driver, for an index whose directory fits there."""
 
     def __init__(self, directory: DataFrame):
-        self.blocks = directory.orderBy("shard", "block").collect()  # a row for BLOCK_LINES captures
-        self.firsts = [b["first_key"] for b in self.blocks]
         self.reader = Reader()
+        self.run = Blocks(self.reader)
+        for b in directory.orderBy("shard", "block").collect():  # a row for BLOCK_LINES captures
+            self.run.add(b["first_key"], b["last_key"], b["uri"], b["offset"], b["length"])
 
     def places(self, key: str) -> list[list]:
         """The index lines of a key; none if it was not captured."""
-        found = []
-        for b in self.blocks[max(bisect_left(self.firsts, key) - 1, 0) : bisect_right(self.firsts, key)]:
-            if b["last_key"] >= key:
-                lines = _lines(self.reader, b["uri"], b["offset"], b["length"])
-                keys = [x[1] for x in lines]
-                found += lines[bisect_left(keys, key) : bisect_right(keys, key)]
-        return found
+        return list(self.run.places(key))
 
     def captures(self, key: str) -> list[Capture]:
         """The records of a key; a revisit comes without its payload."""
@@ -289,9 +349,10 @@ class CaptureIndex:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to an archive and read back through the index."""
-    captures = write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "archives"))
-    return read_all(write_index(captures, scratch_path(spark, "captures")))
+    """Every page written to an archive, looked up by its address in the index, and read back."""
+    pages = table(spark, sf_dir, "pages")
+    directory = write_index(write_archives(pages, scratch_path(spark, "archives")), scratch_path(spark, "captures"))
+    return lookup(pages.select(url_key("url").alias("key")), directory)
 
 
 QUERIES = {"op8_warc": op8_warc}

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starfold.llm import pieces, token_files, url_filter, warc
 from starfold.llm.files import read_file
@@ -161,7 +162,8 @@ def test_archives_read_back_through_the_index(spark, tmp_path, monkeypatch):
     pages = spark.createDataFrame([(*p, 5) for p in PAGES], "page_id long, url string, html string, digest int")
     places = warc.write_archives(pages, f"file://{tmp_path}/w")
     directory = warc.write_index(places, f"file://{tmp_path}/i")
-    got = warc.read_all(directory).collect()
+    wanted = pages.select(warc.url_key("url").alias("key"))
+    got = warc.lookup(wanted, directory).collect()
     want = []
     for i, _, html in PAGES:
         data = (html or "").encode()
@@ -171,6 +173,11 @@ def test_archives_read_back_through_the_index(spark, tmp_path, monkeypatch):
     key = lambda x: (x[0] is None, x[0] or 0)
     assert sorted((tuple(r)[:5] for r in got), key=key) == sorted(want, key=key)
 
+    # Only what is asked for is read: unknown, null and repeated keys among it.
+    some = spark.createDataFrame([("org,example)/a", 1), ("org,example)/a", 2), ("", 3), ("zz", 4), (None, 5), (")", 6)], "key string, uri int")
+    assert sorted(r["page_id"] for r in warc.lookup(some, directory).collect()) == [3, 5, 9, 9]
+    assert {r["key"] for r in warc.lookup(some, directory).collect()} == {"org,example)/a", ")"}
+
     index = warc.CaptureIndex(directory)
     assert [c.page for c in index.captures("org,example)/a")] == [3, 9, 9]
     found = index.captures("org,example)/a/b?x=1")
@@ -184,10 +191,23 @@ def test_archives_read_back_through_the_index(spark, tmp_path, monkeypatch):
             assert gzip.decompress(f.read_at(r["length"], r["offset"])).startswith(b"WARC/1.1\r\nWARC-Type: " + r["record_type"].encode())
 
 
+def test_an_address_of_very_many_captures_is_spread_over_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 4)
+    rows = [(i, "http://hot.org/" if i % 3 else f"http://site{i}.org/", f"page {i}") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    directory = warc.write_index(warc.write_archives(pages, str(tmp_path / "w")), str(tmp_path / "i"))
+    hot = directory.where("first_key <= 'org,hot)/' and last_key >= 'org,hot)/'")
+    assert hot.select("shard").distinct().count() > 2
+    got = warc.lookup(pages.select(warc.url_key("url").alias("key")), directory).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(300))
+    one = spark.createDataFrame([("org,hot)/",)], "key string")
+    assert sorted(r["page_id"] for r in warc.lookup(one, directory).collect()) == [i for i in range(300) if i % 3]
+
+
 def test_archives_of_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     directory = warc.write_index(warc.write_archives(pages, str(tmp_path)), str(tmp_path))
-    assert warc.read_all(directory).count() == 0 and warc.CaptureIndex(directory).captures("x") == []
+    assert warc.lookup(pages.select(F.col("url").alias("key")), directory).count() == 0 and warc.CaptureIndex(directory).captures("x") == []
 
 
 def test_damaged_payload_is_noticed():
