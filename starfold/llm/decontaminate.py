@@ -40,19 +40,23 @@ def words(text: str) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), NOT_WORD), "")
 
 
-def shingle_hashes(df: DataFrame, text: str, k: int = WORDS) -> DataFrame:
+def shingle_hashes(df: DataFrame, text: str, k: int = WORDS, short: list[int] | None = None) -> DataFrame:
     """``df`` with ``h``: sorted distinct 64-bit hashes of all runs of ``k`` words.
 
     A text with fewer words has its whole sequence as one; without words ``h``
-    is empty.
+    is empty. With ``short`` also ``s``: distinct hashes of all runs of each
+    of these smaller numbers of words.
     """
-    at = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("_w") - F.lit(k), F.lit(0))),
-        lambda i: F.xxhash64(*[F.get(F.col("_w"), i + F.lit(j)) for j in range(k)]),
-    )
+    def runs(n: int) -> Column:
+        at = F.sequence(F.lit(0), F.greatest(F.size("_w") - F.lit(n), F.lit(0)))
+        return F.transform(at, lambda i: F.xxhash64(*[F.get(F.col("_w"), i + F.lit(j)) for j in range(n)]))
+
+    none = F.array().cast("array<bigint>")
     df = df.withColumn("_w", words(text))
-    df = df.withColumn("h", F.when(F.size("_w") > 0, F.sort_array(F.array_distinct(at)))
-                       .otherwise(F.array().cast("array<bigint>")))
+    df = df.withColumn("h", F.when(F.size("_w") > 0, F.sort_array(F.array_distinct(runs(k)))).otherwise(none))
+    if short is not None:
+        each = [F.when(F.size("_w") >= n, runs(n)).otherwise(none) for n in short]
+        df = df.withColumn("s", F.array_distinct(F.concat(none, *each)))
     return df.drop("_w")
 
 
@@ -87,7 +91,8 @@ def containment(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
 
     Shingles are runs of ``k`` lower-cased words (letters, marks and digits);
     a pair is returned when ``shared / shingles of the item`` is at least
-    ``threshold``. Items and documents without words, or with a null text,
+    ``threshold``. An item of fewer than ``k`` words is one shingle, its whole
+    sequence, and is found wherever a document holds it. Items and documents without words, or with a null text,
     are in no pair. Rows with one id are one document (or item) with the
     shingles of all of them; a null id is in no pair. Further columns are
     ignored, whatever their names; an empty table on either side gives none.
@@ -95,6 +100,8 @@ def containment(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     Columns: ``doc_id, item_id, n_item, n_shared, containment``.
     """
     num, den = threshold
+    lengths = items.where(F.col(item_col).isNotNull()).select(F.size(words(item_text)).alias("n")).where(F.col("n").between(1, k - 1))
+    short = sorted(r["n"] for r in lengths.distinct().collect())  # fewer than k numbers
     i = shingle_hashes(items.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("_t"))
                        .where("item_id is not null"), "_t", k)
     i = i.select("item_id", F.explode("h").alias("h")).distinct()
@@ -103,8 +110,8 @@ def containment(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     mask = _mask(i)
     low = (1 << MASK_BITS) - 1
     d = shingle_hashes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
-                       .where("doc_id is not null"), "_t", k)
-    d = d.select("doc_id", "h", _bins(F.size("h")).alias("bits"))
+                       .where("doc_id is not null"), "_t", k, short)
+    d = d.select("doc_id", "h", "s", _bins(F.size("h")).alias("bits"))
     h, bits = F.col("h"), F.col("bits")
 
     def known(x: Column) -> Column:
@@ -115,6 +122,8 @@ def containment(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
         F.transform(h, lambda x, n: F.when(known(x), F.struct(x.alias("h"), _is_min(h, x, n, bits).alias("low")))),
         lambda s: s.isNotNull(),
     )
+    if short:  # these are never the smallest of a bin: short items are looked for by their one shingle
+        hits = F.concat(hits, F.transform(F.filter("s", known), lambda x: F.struct(x.alias("h"), F.lit(False).alias("low"))))
     d = d.select("doc_id", "bits", F.explode(hits).alias("s")).select("doc_id", "bits", "s.h", "s.low")
     d = staged(d, "hits")
 
@@ -145,15 +154,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+_WORDS = r"""SELECT {id}, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+              '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {table}"""
 _SET = r"""SELECT {id}, unnest(list_distinct(CASE WHEN len(w) >= 5
                THEN list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i+4], 'string_agg', ' '))
                WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END)) AS s
-        FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
-              '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})"""
+        FROM (""" + _WORDS + ")"
 SQL = {"op10_decontaminate": f"""
     WITH i AS ({_SET.format(id="item_id", table="benchmark")}),
     n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY item_id),
-    d AS ({_SET.format(id="doc_id", table="documents")})
+    few AS (SELECT DISTINCT len(w) AS k FROM ({_WORDS.format(id="item_id", table="benchmark")}) q WHERE len(w) BETWEEN 1 AND 4),
+    d AS ({_SET.format(id="doc_id", table="documents")}
+        UNION SELECT doc_id, unnest([list_aggregate(w[j:j+k-1], 'string_agg', ' ') for j in range(1, len(w) - k + 2)]) AS s
+        FROM ({_WORDS.format(id="doc_id", table="documents")}) q, few WHERE len(w) >= k)
     SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
     FROM d JOIN i USING (s) JOIN n USING (item_id)
     GROUP BY doc_id, item_id, n_item HAVING count(*) * 5 >= n_item * 4"""}

@@ -229,16 +229,20 @@ def test_prefix_tree_search_is_exact():
 
 
 def python_containment(docs, items, num=4, den=5):
-    def sets(rows):
+    words = lambda t: [x for x in re.split(r"[^\w]+|_", (t or "").lower()) if x]
+    short = {len(words(t)) for i, t in items if i is not None} & {1, 2, 3, 4}
+
+    def sets(rows, lengths):
         out = {}
         for i, t in rows:
-            w = [x for x in re.split(r"[^\w]+|_", (t or "").lower()) if x]
+            w = words(t)
             s = {tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+            s |= {tuple(w[j : j + n]) for n in lengths for j in range(len(w) - n + 1)}
             if i is not None:
                 out.setdefault(i, set()).update(s)
         return out
 
-    d, t = sets(docs), sets(items)
+    d, t = sets(docs, short), sets(items, [])
     return {(a, b, len(y), len(x & y)) for a, x in d.items() for b, y in t.items() if y and den * len(x & y) >= num * len(y)}
 
 
@@ -285,6 +289,15 @@ def test_dropping_stages_take_clashing_columns(spark):
     assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [1, 2]
 
 
+def test_short_items_are_found_inside_longer_texts(spark):
+    docs = spark.createDataFrame([(1, "The quick, brown fox jumps over the lazy dog."), (2, "brown fox"), (3, "fox brown jumps " * 9),
+                                  (4, "jumps"), (5, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Brown FOX jumps"), (2, "jumps"), (3, "brown fox"), (4, "over the lazy dog")],
+                                  "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.containment(docs, items).collect()}
+    assert got == {(1, 1), (1, 2), (1, 3), (1, 4), (2, 3), (3, 2), (4, 2)}
+
+
 def test_containment_of_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     t = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
