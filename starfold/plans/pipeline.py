@@ -35,6 +35,7 @@ from starfold.operators.facts import DimLookup, build_fact, class_counters
 from starfold.operators.mapping import ambiguous_mappings, apply_mapping, clean_mapping
 from starfold.operators.scd2 import Scd2Spec, scd2_init, scd2_merge
 from starfold.plans import ledger
+from starfold.plans.totals import maintained
 from starfold.sources.bronze import CORRUPT_COL, all_string_schema, read_batch, read_raw_csv, split_corrupt, stamp_batch, write_batch
 from starfold.sources.versions import ALL, Parts, VersionedTables, part_key, totals
 
@@ -251,6 +252,9 @@ def gold(spark: SparkSession, output_path: str, table: str) -> DataFrame:
 
 DIM_KEYS = {"dim_athlete": ("athlete_key", ["athlete_id"]), "dim_games": ("games_key", ["games_name"]),
             "dim_event": ("event_key", ["sport", "event_name"])}
+#: Additive totals by year and code version, kept piece by piece of the fact.
+TOTALS, TOTALS_KEYS = "totals_participation", ["year", "noc_key"]
+COUNTERS = ["participation_count", "medal_count", *MEDALS]
 #: Buckets of a Type 1 dimension; the first load decides.
 DIM_BUCKETS = 8
 
@@ -333,6 +337,7 @@ def run_batch(spark: SparkSession, input_path: str, reference_path: str, output_
             gates.append(Q.orphan_keys(store.frame(again), dims[name], key, table=f"earlier {name}"))
     report.gate_counts.update(Q.enforce(gates))
     report.repeated_keys = Q.duplicate_keys(fact, ["participation_key"], "fact_participation").violations.count()
+    staged[TOTALS] = maintained(store, staged["fact_participation"], TOTALS, TOTALS_KEYS, COUNTERS)
     stored = [v for v in totals(staged["fact_participation"]).values()]
     lines = [*layer_lines(spark, out, batch_date, report),
              ("fact", "fact_participation", *ledger.counted(fact, ["participation_key"])[0]),

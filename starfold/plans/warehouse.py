@@ -86,6 +86,7 @@ def loader(spark: SparkSession, sf_dir: str) -> Loader:
             handles[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         return handles[name]
 
+    load.root = sf_dir
     return load
 
 
@@ -571,6 +572,12 @@ def q_pipeline_null_years(T: Loader) -> DataFrame:
     return q(T)
 
 
+def q_pipeline_maintained_trend(T: Loader) -> DataFrame:
+    from starfold.plans.pipeline_demo import q_pipeline_maintained_trend as q
+
+    return q(T)
+
+
 def q_pipeline_reconciliation(T: Loader) -> DataFrame:
     from starfold.plans.pipeline_demo import q_pipeline_reconciliation as q
 
@@ -627,5 +634,6 @@ QUERIES: dict[str, Callable[[Loader], DataFrame]] = {
     "pipeline_dim_noc": q_pipeline_dim_noc,
     "pipeline_incremental": q_pipeline_incremental,
     "pipeline_null_years": q_pipeline_null_years,
+    "pipeline_maintained_trend": q_pipeline_maintained_trend,
     "pipeline_reconciliation": q_pipeline_reconciliation,
 }

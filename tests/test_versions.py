@@ -6,6 +6,7 @@ import threading
 
 import pytest
 
+from starfold.plans.totals import maintained, read_totals
 from starfold.sources.versions import ALL, LostRows, VersionConflict, VersionedTables, part_key, totals
 
 ROWS = "k int, t string, y int"
@@ -159,3 +160,24 @@ def test_compaction_keeps_totals(spark, store):
     assert store.compacted("f", 5) == store.tables["f"]
     store.publish({"f": small})
     assert sorted(r["k"] for r in store.read("f").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_maintained_totals_equal_the_full_query_and_read_new_pieces_only(spark, store, monkeypatch):
+    batches = [[(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", None)], [(1, "A", 1), (5, "e", 9)], [(6, "f", None), (5, "E", 9)]]
+    frame_of = VersionedTables.frame
+    for rows in batches:
+        new = store.stage_by(frame(spark, [(*r, r[0] * 10) for r in rows], "k int, t string, y int, n int"), "f", "y")
+        fact = store.upsert(new, "f", ["k"], "y")
+        had = {p["path"] for v in store.tables.get("f", {}).values() for p in v}
+        seen = []
+        monkeypatch.setattr(VersionedTables, "frame", lambda self, t, *a, **k: seen.extend(
+            p["path"] for v in t.values() for p in v) or frame_of(self, t, *a, **k))
+        sums = maintained(store, fact, "sums", ["y"], ["n"])
+        monkeypatch.setattr(VersionedTables, "frame", frame_of)
+        assert seen and not set(seen) & had
+        assert len(sums) == sum(len(v) for v in fact.values())
+        store.publish({"f": fact, "sums": sums})
+        want = rows_of(store.read("f").groupBy("y").sum("n"))
+        assert rows_of(read_totals(store, "sums", ["y"], ["n"])) == want
+    assert read_totals(store, "none", ["y"], ["n"]) is None
+    assert maintained(store, store.tables["f"], "sums", ["y"], ["n"]) == store.tables["sums"]
