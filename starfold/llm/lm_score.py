@@ -3,7 +3,10 @@
 Two word models, one of the target texts and one of all texts, are matched:
 same vocabulary, same order (two words), same smoothing. A text's score is
 the mean over its words of the loss under the target model minus the loss
-under the background model; below zero means closer to the target.
+under the background model; below zero means closer to the target. A text
+that the models were learned from is scored by models without it: its own
+counts come off both, or a score would say what was learned from, not what it
+is like.
 
 The vocabulary is every word of the corpus, and the counts of words and word
 pairs are exact and over all texts. Both grow with the corpus, so no task and
@@ -173,6 +176,13 @@ class Slice:
         return {PAIRS: np.array(count(self.pair, len(self.one))), WORDS: words[:, self.by_word]}
 
 
+    def own(self, values: np.ndarray, kinds: int) -> np.ndarray:
+        """For each place of the slice: how often its text has the value that stands there (one of ``kinds``)."""
+        text = np.repeat(np.arange(len(self.size)), self.size)
+        _, back, many = np.unique(text * kinds + values, return_inverse=True, return_counts=True)
+        return many[back]
+
+
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where in sorted keys each bucket begins; the hash range is cut into equal parts."""
     edges = np.array([(i << 64) // buckets for i in range(buckets)], dtype=np.uint64)
@@ -259,14 +269,17 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
     Losses are means over words (natural logarithm): a pair's share after the
     word before, mixed with the word's share overall, to whose count one is
     added. A word that the models have not seen has the count zero, and after
-    it words have their share overall. A null text, or one without words, has
+    it words have their share overall. If ``docs`` is the table that the
+    models were learned from, each row is scored without its own counts (of
+    repeated rows each without one of them). A null text, or one without words, has
     zero words and null losses and score. Repeated rows are scored each;
     further columns are ignored, whatever their names.
     """
     size, buckets = models.size, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if docs is models.docs and (id_col, text_col) == ("doc_id", "text"):
-        asked, sent = models.slices, _send(models.slices, buckets, True, True)
+        asked, sent, learned = models.slices, _send(models.slices, buckets, True, True), True
     else:
+        learned = False
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lit(False).alias("target"))
         asked = staged(_slices(rows, models.known), "lm_asked")
         sent = _send(models.slices, buckets, True, False).union(_send(asked, buckets, False, True))
@@ -282,11 +295,17 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
             words = np.empty_like(got[WORDS])
             words[:, s.by_word] = got[WORDS]
             mean, n = [], s.size
+            mine = np.zeros((3, len(s.now)), dtype=np.int64)
+            if learned:
+                mine = np.array([s.own(s.pair, len(s.one)), s.own(s.now, len(s.words)), s.own(s.before, len(s.words))])
             for j in (0, 1):
-                single = ((words[j] + 1.0) / (own[1 + j] + (size or own[0] + 1)))[s.two]
-                before = words[2 + j][s.one]
-                share = np.divide(got[PAIRS][j], before, out=single.copy(), where=before > 0)
-                total = np.concatenate([[0.0], np.cumsum(-np.log(OWN * share + (1 - OWN) * single)[s.pair])])
+                # The target model has a text's counts only if it is one of its texts.
+                of = np.repeat((s.marks & 1 if j == 0 else np.ones_like(n)) * learned, n)
+                single = words[j][s.now] - of * mine[1] + 1.0
+                single /= own[1 + j] + (size or own[0] + 1) - of * np.repeat(n, n)
+                before = words[2 + j][s.before] - of * mine[2]
+                share = np.divide(got[PAIRS][j][s.pair] - of * mine[0], before, out=single.copy(), where=before > 0)
+                total = np.concatenate([[0.0], np.cumsum(-np.log(OWN * share + (1 - OWN) * single))])
                 with np.errstate(divide="ignore", invalid="ignore"):
                     mean.append((total[s.first[1:]] - total[s.first[:-1]]) / n)
             none = n == 0

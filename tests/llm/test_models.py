@@ -247,8 +247,8 @@ def test_cross_entropy_difference_equals_brute_force(spark):
         one /= one.sum()
         return lambda b, w: -math.log(0.75 * (pairs[b, w] / pairs[b].sum() if pairs[b].sum() else one[w]) + 0.25 * one[w])
 
-    target, background = model(range(60)), model(words)
     for i, v in words.items():
+        target, background = model(set(range(60)) - {i}), model(set(words) - {i})  # a text's own counts are left out
         assert got[i]["n_words"] == len(v)
         if not v:
             assert got[i]["score"] is None and got[i]["target_loss"] is None
@@ -270,6 +270,23 @@ def test_language_models_of_empty_tables(spark):
     assert lm_score.score(docs.limit(0), lm_score.fit(docs.limit(0), none)).count() == 0
 
 
+def test_scores_tell_likeness_not_membership(spark):
+    """Held-out texts of the target's kind score like those learned from, texts of another kind do not."""
+    r = random.Random(9)
+    names = {"a": [f"a{i}" for i in range(400)], "b": [f"b{i}" for i in range(400)]}
+    text = lambda k: " ".join(r.choice(names[k] if r.random() < 0.4 else names["a"] + names["b"]) for _ in range(60))
+    rows = [(i, text("a" if i % 3 else "b")) for i in range(450)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kind = {i: "b" if i % 3 == 0 else "learned" if i % 2 else "held out" for i, _ in rows}
+    targets = spark.createDataFrame([(i,) for i, k in kind.items() if k == "learned"], "doc_id long")
+    got = {k: [] for k in ("learned", "held out", "b")}
+    for x in lm_score.score(docs, lm_score.fit(docs, targets)).collect():
+        got[kind[x["doc_id"]]].append(x["score"])
+    more = lambda x, y: np.mean([a > b for a in got[x] for b in got[y]])
+    assert 0.4 < more("held out", "learned") < 0.6
+    assert more("b", "learned") > 0.9 and more("b", "held out") > 0.9
+
+
 def test_every_word_and_pair_is_modelled(spark):
     r = random.Random(4)
     rows = [(i, " ".join(f"w{min(r.randrange(3000), r.randrange(3000))}" for _ in range(60))) for i in range(200)]
@@ -297,8 +314,11 @@ def test_every_word_and_pair_is_modelled(spark):
         assert set(got) == set(texts)
         for i, v in texts.items():
             assert got[i]["n_words"] == len(v) and (got[i]["score"] is None) == (not v)
-            for name, (now, before, pairs) in zip(("target_loss", "background_loss"), both):
+            for name, (now, before, pairs), of in zip(("target_loss", "background_loss"), both, (range(50), texts)):
                 loss = 0.0
+                if table is docs and i in of:  # a text's own counts are left out
+                    alone = learned({i})
+                    now, before, pairs = now - alone[0], before - alone[1], pairs - alone[2]
                 for b, w in zip(["", *v], v):
                     one = (now[w] + 1) / (now.total() + size)
                     loss -= math.log(0.75 * (pairs[b, w] / before[b] if before[b] else one) + 0.25 * one)
