@@ -21,7 +21,7 @@ def test_stages_and_queries_are_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "ngram_join", "decontamination", "pieces"]
     names = __spark_entry__.queries()
     assert {*QUERIES, "pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert set(SQL) <= set(__spark_entry__.oracle_sql())
 
 
@@ -103,7 +103,7 @@ def test_stages_take_an_empty_table_and_nulls(spark, tmp_path):
 def test_queries_equal_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     cols = sorted(got.columns)
