@@ -35,6 +35,8 @@ from starfold.llm.toxicity import NOT_WORD
 OWN = 0.75
 #: Distinct words that a task counts before it hands them on.
 HELD = 1 << 20
+#: Words of texts that are scored together.
+TOGETHER = 1 << 17
 #: Bytes of text of a slice (a longer text is a slice of its own).
 SLICE = 1 << 24
 #: A slice (``bucket`` -1), what it sends to a bucket, or what a bucket answers.
@@ -176,11 +178,19 @@ class Slice:
         return {PAIRS: np.array(count(self.pair, len(self.one))), WORDS: words[:, self.by_word]}
 
 
-    def own(self, values: np.ndarray, kinds: int) -> np.ndarray:
-        """For each place of the slice: how often its text has the value that stands there (one of ``kinds``)."""
-        text = np.repeat(np.arange(len(self.size)), self.size)
-        _, back, many = np.unique(text * kinds + values, return_inverse=True, return_counts=True)
-        return many[back]
+    def parts(self):
+        """Ranges of texts of about ``TOGETHER`` words (a longer text is one of its own)."""
+        begin = 0
+        for i in range(1, len(self.size) + 1):
+            if i == len(self.size) or self.first[i + 1] - self.first[begin] > TOGETHER:
+                yield begin, i
+                begin = i
+
+
+def _own(text: np.ndarray, values: np.ndarray, kinds: int) -> np.ndarray:
+    """For each place: how often its text has the value that stands there (one of ``kinds``)."""
+    _, back, many = np.unique(text * kinds + values, return_inverse=True, return_counts=True)
+    return many[back]
 
 
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -294,20 +304,24 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
             own = sum(unpack(r["b"]).astype(np.int64) for r in rows[1:] if r["kind"] == WORDS)
             words = np.empty_like(got[WORDS])
             words[:, s.by_word] = got[WORDS]
-            mean, n = [], s.size
-            mine = np.zeros((3, len(s.now)), dtype=np.int64)
-            if learned:
-                mine = np.array([s.own(s.pair, len(s.one)), s.own(s.now, len(s.words)), s.own(s.before, len(s.words))])
-            for j in (0, 1):
-                # The target model has a text's counts only if it is one of its texts.
-                of = np.repeat((s.marks & 1 if j == 0 else np.ones_like(n)) * learned, n)
-                single = words[j][s.now] - of * mine[1] + 1.0
-                single /= own[1 + j] + (size or own[0] + 1) - of * np.repeat(n, n)
-                before = words[2 + j][s.before] - of * mine[2]
-                share = np.divide(got[PAIRS][j][s.pair] - of * mine[0], before, out=single.copy(), where=before > 0)
-                total = np.concatenate([[0.0], np.cumsum(-np.log(OWN * share + (1 - OWN) * single))])
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    mean.append((total[s.first[1:]] - total[s.first[:-1]]) / n)
+            n, mean = s.size, np.full((2, len(s.size)), np.nan)
+            for begin, end in s.parts():  # memory for places is that of a few texts
+                many = n[begin:end]
+                at = slice(s.first[begin], s.first[end])
+                now, before, pair = s.now[at], s.before[at], s.pair[at]
+                text = np.repeat(np.arange(len(many)), many)
+                mine = (0, 0, 0)
+                if learned:
+                    mine = (_own(text, pair, len(s.one)), _own(text, now, len(s.words)), _own(text, before, len(s.words)))
+                for j in (0, 1):
+                    # The target model has a text's counts only if it is one of its texts.
+                    of = ((s.marks[begin:end] & 1 if j == 0 else np.ones_like(many)) * learned)[text]
+                    single = words[j][now] - of * mine[1] + 1.0
+                    single /= own[1 + j] + (size or own[0] + 1) - of * many[text]
+                    prior = words[2 + j][before] - of * mine[2]
+                    share = np.divide(got[PAIRS][j][pair] - of * mine[0], prior, out=single.copy(), where=prior > 0)
+                    total = np.bincount(text, -np.log(OWN * share + (1 - OWN) * single), len(many))
+                    mean[j, begin:end] = np.divide(total, many, out=np.full(len(many), np.nan), where=many > 0)
             none = n == 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(s.ids, mask=s.marks > 1), pa.array(n), *(pa.array(m, mask=none) for m in (*mean, mean[0] - mean[1]))],
