@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starfold.functions.columns import null_if_missing, title_case, typed, upper_code
+from starfold.sources.tables import stored
 
 
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -26,6 +27,22 @@ def dedupe_exact(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
+def dedupe_staged(df: DataFrame) -> DataFrame:
+    """Exact duplicates over all columns removed, where most rows have none.
+
+    Only rows' 64-bit hashes are shuffled to find those that occur more than
+    once; they are stored, so that the planner knows their size. All other
+    rows are distinct and stay where they are; rows of such a hash are
+    compared by their columns (equal hashes alone drop nothing). With very
+    many duplicates the planner shuffles the rows by hash, too.
+    """
+    h = F.xxhash64(*df.columns)
+    twice = df.groupBy(h.alias("_hash")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    twice = stored(twice, "repeated-hashes")
+    same = h == twice["_hash"]
+    return df.join(twice, same, "left_anti").union(dedupe_exact(df.join(twice, same, "left_semi")))
+
+
 def dedupe_by_key(
     df: DataFrame,
     keys: Sequence[str],

@@ -27,9 +27,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.functions.columns import add_record_hash
+from starfold.functions.columns import add_record_hash, digest
 from starfold.operators import quality as Q
-from starfold.operators.cleanse import clean_columns, dedupe_by_key, dedupe_exact, rejected_values, require_not_null
+from starfold.operators.cleanse import clean_columns, dedupe_by_key, dedupe_staged, rejected_values, require_not_null
 from starfold.operators.dims import build_dimension
 from starfold.operators.facts import DimLookup, build_fact, class_counters
 from starfold.operators.mapping import ambiguous_mappings, apply_mapping, clean_mapping
@@ -173,7 +173,7 @@ def transform_events(bronze_events: DataFrame, mapping: DataFrame, on_malformed:
     """Typed, standardised, de-duplicated events with canonical codes and the
     grain hash ``source_record_hash``."""
     typed = clean_columns(bronze_events, EVENT_SPEC, on_malformed, keep=META)
-    kept = dedupe_exact(require_not_null(typed, ["athlete_id", "games_name", "event_name"]))
+    kept = dedupe_staged(require_not_null(typed, ["athlete_id", "games_name", "event_name"]))
     mapped = map_codes(kept, mapping, EVENT_SYSTEM)
     return add_record_hash(
         mapped, ["athlete_id", "games_name", "event_name", "team", "noc_code"], "source_record_hash"
@@ -228,7 +228,7 @@ def build_participation(events: DataFrame, dims: dict[str, DataFrame], dim_noc:
     return build_fact(
         events,
         [
-            DimLookup(dims["dim_athlete"], ("athlete_id",), "athlete_key"),
+            DimLookup(dims["dim_athlete"], ("athlete_id",), "athlete_key", hashed=True),
             DimLookup(dims["dim_games"], ("games_name",), "games_key"),
             DimLookup(dims["dim_event"], ("sport", "event_name"), "event_key"),
             DimLookup(dim_noc, ("noc_code",), "noc_key", current_col="is_current"),
@@ -336,7 +336,8 @@ def run_batch(spark: SparkSession, input_path: str, reference_path: str, output_
         if again:
             gates.append(Q.orphan_keys(store.frame(again), dims[name], key, table=f"earlier {name}"))
     report.gate_counts.update(Q.enforce(gates))
-    report.repeated_keys = Q.duplicate_keys(fact, ["participation_key"], "fact_participation").violations.count()
+    short = fact.select(*[c.alias(name) for c, name in zip(digest("participation_key"), ("key_1", "key_2"), strict=True)])
+    report.repeated_keys = Q.duplicate_keys(short, ["key_1", "key_2"], "fact_participation").violations.count()
     staged[TOTALS] = maintained(store, staged["fact_participation"], TOTALS, TOTALS_KEYS, COUNTERS)
     stored = [v for v in totals(staged["fact_participation"]).values()]
     lines = [*layer_lines(spark, out, batch_date, report),

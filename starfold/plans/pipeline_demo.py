@@ -25,6 +25,7 @@ from starfold.plans.ledger import reconciliation
 from starfold.plans.pipeline import EVENT_COLUMNS, TOTALS, gold, run_batch
 from starfold.plans.warehouse import source_state
 from starfold.session import scratch_path
+from starfold.sources.tables import stored
 
 # Fixed values of this demonstration (kept identical in the SQL oracle).
 BATCH_1_DATE = "2026-06-20"
@@ -34,25 +35,39 @@ SPLIT_PRICE = 150_000
 MAPPED_REGION = "AFRICA"
 RENAMED_REGION = "EUROPE"
 NO_YEAR = 7
+# Lines of one packed CSV file.
+CSV_LINES = 1_000_000
 
 
-def _events(T, only: F.Column | None) -> DataFrame:
+def _lines(T, first: F.Column) -> DataFrame:
+    """Line items with order, customer and part, and whether the order is one of ``first``; stored for both batches.
+
+    Customers meet the orders, not the lines, and lines go through the joins
+    with the columns that an event needs.
+    """
     li, o, c, p = T("lineitem"), T("orders"), T("customer"), T("part")
-    if only is not None:
-        o = o.filter(only)
-    ev = (li.join(o, li.l_orderkey == o.o_orderkey)
-          .join(c, o.o_custkey == c.c_custkey)
-          .join(p, li.l_partkey == p.p_partkey))
-    year = F.year("o_orderdate").cast("string")
     medal = (F.when(F.col("l_returnflag") == "A", "gold").when(F.col("l_returnflag") == "R", "silver")
              .when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), "bronze")
              .otherwise("NA"))
+    li = li.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", medal.alias("medal"))
+    o = o.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"), first.alias("first"))
+    o = o.join(c, o.o_custkey == c.c_custkey).select(
+        "o_orderkey", "year", "first", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    p = p.select("p_partkey", "p_size", "p_type", "p_brand")
+    ev = li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey)
+    return stored(ev.drop("l_orderkey", "o_orderkey", "l_partkey", "p_partkey"), "event-lines")
+
+
+def _events(ev: DataFrame, only: F.Column | None) -> DataFrame:
+    if only is not None:
+        ev = ev.filter(only)
+    year = F.col("year").cast("string")
     cols = [
         F.col("c_custkey").cast("string"), F.col("c_name"), F.lower(F.substring("c_mktsegment", 1, 1)),
         (F.col("l_linenumber") + 20).cast("string"), F.col("l_quantity").cast("string"),
         F.col("p_size").cast("string"), F.col("c_mktsegment"), F.concat(F.lit("N"), F.col("c_nationkey")),
         F.concat(year, F.lit(" Summer")), year, F.lit("summer"), F.concat(F.lit("Host "), year),
-        F.col("p_type"), F.col("p_brand"), medal,
+        F.col("p_type"), F.col("p_brand"), F.col("medal"),
     ]
     return ev.select(*[c.alias(name) for c, name in zip(cols, EVENT_COLUMNS)])
 
@@ -91,8 +106,12 @@ def _spoilt_reference(reference: DataFrame) -> DataFrame:
 
 
 def _write_csv(df: DataFrame, folder: str, name: str) -> None:
-    """One CSV file per source (the pipeline reads ``<folder>/<name>``)."""
+    """A folder of packed CSV files per source (the pipeline reads ``<folder>/<name>``).
+
+    A packed file is read by one task, so its lines are limited.
+    """
     (df.write.option("header", True).option("quote", '"').option("escape", '"')
+     .option("compression", "gzip").option("maxRecordsPerFile", CSV_LINES)
      .csv(f"{folder}/{name}"))
 
 
@@ -108,10 +127,11 @@ def run_two_batches(T, split: bool = False, spoilt: bool = False) -> str:
     _write_csv(_mapping(T), ref_dir, "noc_code_mapping.csv")
     early = F.col("o_orderdate") < F.lit(BATCH_1_END).cast("timestamp_ntz")
     cheap = F.col("o_totalprice") < SPLIT_PRICE
-    rows = [(cheap, BATCH_1_DATE), (~cheap, BATCH_2_DATE)] if split else [(early, BATCH_1_DATE), (None, BATCH_2_DATE)]
+    lines, first = _lines(T, cheap if split else early), F.col("first")
+    rows = [(first, BATCH_1_DATE), (~first if split else None, BATCH_2_DATE)]
     for i, (only, date) in enumerate(rows, start=1):
         in_dir = f"{root}/in/batch_{i}"
-        events, reference = _events(T, only), _reference(T, renamed=(i == 2))
+        events, reference = _events(lines, only), _reference(T, renamed=(i == 2))
         if spoilt:
             events, reference = _without_year(events), _spoilt_reference(reference)
         _write_csv(events, in_dir, "athlete_events.csv")

@@ -20,6 +20,8 @@ SESSION_CONF = {
     "spark.ui.enabled": "false",
 }
 
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "starfold",
                   extra: dict | None = None) -> SparkSession:
@@ -54,6 +56,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return conf.rstrip("/")
 
 
+def open_writers(spark: SparkSession, number: int = 64) -> None:
+    """Let a task that writes folders by value keep up to ``number`` of them open, unless the session says otherwise.
+
+    Without, it sorts its rows by folder first; beyond that number it still does.
+    """
+    if spark.conf.get(WRITERS, "0") == "0":
+        spark.conf.set(WRITERS, str(number))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point ``SparkContext.setCheckpointDir`` at the shared folder."""
     root = checkpoint_root(spark)

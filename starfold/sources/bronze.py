@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from starfold.session import open_writers
+
 CORRUPT_COL = "_corrupt_record"
 BATCH_COL = "_batch_date"
 
@@ -48,7 +50,8 @@ def write_batch(df: DataFrame, path: str, batch_date: str | None = None, by: Seq
 
     With ``batch_date`` the rows are that batch, and replace its folder even
     if there are none. Without, each batch that ``df`` has rows of is
-    replaced. Returns the number of rows, observed during the write.
+    replaced. Returns the number of rows, observed during the write. Rows are
+    not shuffled by ``by``: each task writes to the folders that it has rows of.
     """
     obs = Observation("rows")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -56,9 +59,9 @@ def write_batch(df: DataFrame, path: str, batch_date: str | None = None, by: Seq
         out, path, mode = out.drop(BATCH_COL), batch_path(path, batch_date), "static"
     else:
         by, mode = [BATCH_COL, *by], "dynamic"
-    if by:
-        out = out.hint("rebalance", *by)
-    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*by).parquet(path)
+    open_writers(df.sparkSession)
+    options = {"partitionOverwriteMode": mode, "compression": "zstd"}
+    out.write.mode("overwrite").options(**options).partitionBy(*by).parquet(path)
     return obs.get["rows"]
 
 

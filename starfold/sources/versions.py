@@ -24,6 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from starfold.functions.columns import digest
+from starfold.session import open_writers
+from starfold.sources.tables import stored
+
 #: A piece: ``path, schema, rows, sum, range``.
 Piece = dict
 #: A table's parts: key of the part to its pieces.
@@ -151,7 +155,7 @@ class VersionedTables:
     def stage(self, df: DataFrame, table: str, part: str = ALL, ranges: Iterable[str] = ()) -> Parts:
         """Write ``df`` as one piece of a table of the next version; its totals are those of the files written."""
         path = f"{self.staging}/{table}/all-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         found = back.agg(*_sums(back), *_extremes(ranges)).first()
         return {part: [self._piece(path, df, found, ranges)]}
@@ -167,7 +171,8 @@ class VersionedTables:
         value = F.col(column) if isinstance(column, str) else column
         # A prefix keeps null, the empty text and the text "null" apart in the folders' names.
         name = F.when(value.isNull(), F.lit("null")).otherwise(F.concat(F.lit("v"), value.cast("string")))
-        df.withColumn("_part_", name).hint("rebalance", "_part_").write.partitionBy("_part_").parquet(path)
+        open_writers(self.spark)
+        df.withColumn("_part_", name).write.option("compression", "zstd").partitionBy("_part_").parquet(path)
         back = self.spark.read.schema(StructType([*df.schema, StructField("_part_", StringType())])).parquet(path)
         found = {r["_part_"]: r for r in back.groupBy("_part_").agg(*_sums(back), *_extremes(ranges)).collect()}
         out: Parts = {}
@@ -188,24 +193,26 @@ class VersionedTables:
         rows of are looked at, by their key columns, and only those that lose
         rows are written again. What stays of them must be the earlier rows
         less the replaced ones, in number and in sum of hashes; or
-        :class:`LostRows` is raised and nothing can be published.
+        :class:`LostRows` is raised and nothing can be published. Keys meet as
+        two 64-bit hashes, in one pass over the earlier parts that stores the
+        replaced rows' hashes; a second one writes the rows that stay.
         """
         out = dict(self.tables.get(table, {}))
         earlier = self.frame(out, new)
         if earlier is not None:
             kind = kind or dict(earlier.dtypes)[column]
             value = (F.col(column) if isinstance(column, str) else column).cast("string")
-            mine = self.frame(new).select(*keys).distinct()
-            same = [earlier[k].eqNullSafe(mine[k]) for k in keys]
-            hit = earlier.join(mine, same, "left_semi").select(value.alias("part")).distinct().collect()
-            hit = [json.dumps([kind, r["part"]]) for r in hit]
+            short = [c.alias(name) for c, name in zip(digest(*keys), ("_k1", "_k2"), strict=True)]
+            mine = self.frame(new).select(*short).distinct()
+            narrow = earlier.select(*short, value.alias("part"), row_hash(earlier).alias("hash"))
+            lost = stored(narrow.join(mine, ["_k1", "_k2"], "left_semi"), f"replaced-{table}")
+            gone = lost.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("hash").cast("decimal(20,0)")).alias("sum"))
+            gone = {json.dumps([kind, r["part"]]): (r["rows"], int(r["sum"])) for r in gone.collect()}
+            hit = list(gone)
             if hit:
                 earlier = self.frame(out, hit)
-                same = [earlier[k].eqNullSafe(mine[k]) for k in keys]
-                gone = earlier.join(mine, same, "left_semi")
-                gone = {json.dumps([kind, r["part"]]): (r["rows"], int(r["sum"] or 0))
-                        for r in gone.groupBy(value.alias("part")).agg(*_sums(gone)).collect()}
-                rest = self.stage_by(earlier.join(mine, same, "left_anti"), table, column, kind, ranges)
+                same = [a == lost[b] for a, b in zip(digest(*[earlier[k] for k in keys]), ("_k1", "_k2"), strict=True)]
+                rest = self.stage_by(earlier.join(lost, same, "left_anti"), table, column, kind, ranges)
                 left = totals(rest)
                 for key, (rows, total) in totals({k: out[k] for k in hit}).items():
                     kept, replaced = left.get(key, (0, 0)), gone[key]
