@@ -17,7 +17,7 @@ Every function takes a table loader and returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +31,9 @@ from starfold.functions.columns import (
     upper_code,
 )
 from starfold.operators import analytics, quality
-from starfold.operators.cleanse import dedupe_by_key, dedupe_exact, require_not_null
+from starfold.operators.cleanse import dedupe_by_key, dedupe_exact, dedupe_staged, require_not_null
 from starfold.operators.dims import build_dimension
-from starfold.operators.facts import DimLookup, build_fact, class_counters
+from starfold.operators.facts import DimLookup, build_fact, class_counters, resolve_keys
 from starfold.operators.mapping import ambiguous_mappings, apply_mapping, clean_mapping
 from starfold.sources.tables import stored
 from starfold.operators.scd2 import (
@@ -103,21 +103,25 @@ def batch_date_of(ts_col: str) -> F.Column:
 # --- Silver ---------------------------------------------------------------
 
 
-def line_events(T: Loader) -> DataFrame:
+def line_events(T: Loader, lookups: Sequence[DimLookup] = ()) -> DataFrame:
     """Silver line items: exact duplicates removed, enriched with the order's
     customer and date and the part's kind, medal class and grain hash.
 
-    The exact de-duplication is a partial aggregate over all columns (copies
-    collapse before the shuffle). Line items are deliberately *not*
-    pre-partitioned on ``l_orderkey`` to share that shuffle with the orders
+    The exact de-duplication shuffles hashes of rows, and rows only where a
+    hash occurs more than once. Line items are deliberately *not*
+    pre-partitioned on ``l_orderkey`` to share a shuffle with the orders
     join: an order holding a third of all lines would then sit in one task,
     whereas the join below can be broadcast or have its skewed partitions
     split by AQE.
+
+    ``lookups`` by customer are resolved on the orders, so that lines are not
+    shuffled by customer.
     """
-    li = dedupe_exact(T("lineitem"))
+    li = dedupe_staged(T("lineitem"))
     orders = T("orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), "o_orderdate"
     )
+    orders = resolve_keys(orders, lookups)
     part = T("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
     ev = li.join(orders, "l_orderkey", "left").join(part, "l_partkey", "left")
     medal = (
@@ -130,7 +134,7 @@ def line_events(T: Loader) -> DataFrame:
         F.to_date("o_orderdate").alias("order_date"),
         F.year("o_orderdate").alias("year"),
         "p_type", "p_brand", "l_quantity", "l_extendedprice", "l_discount",
-        medal.alias("medal"),
+        medal.alias("medal"), *[lk.key for lk in lookups],
     )
     return add_record_hash(
         ev, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "c_custkey"], "line_key"
@@ -252,13 +256,12 @@ def fact_lines(T: Loader, customers: DataFrame | None = None) -> DataFrame:
     needs a join (current version, one row per customer).
     """
     customers = customers if customers is not None else stored_customer_history(T)
-    return fact_columns(
-        line_events(T),
-        [DimLookup(customers, ("c_custkey",), "customer_key", current_col="is_current")],
-    )
+    current = DimLookup(customers, ("c_custkey",), "customer_key", current_col="is_current")
+    return fact_columns(line_events(T, [current]), [], [current.key])
 
 
-def fact_columns(events: DataFrame, lookups: list[DimLookup]) -> DataFrame:
+def fact_columns(events: DataFrame, lookups: list[DimLookup], keys: Sequence[str] = ()) -> DataFrame:
+    """``keys``: surrogate keys that the events have already."""
     return build_fact(
         events,
         lookups,
@@ -267,7 +270,7 @@ def fact_columns(events: DataFrame, lookups: list[DimLookup]) -> DataFrame:
             derived_key("l_suppkey").alias("supplier_key"),
             derived_key("order_date").alias("date_key"),
             derived_key("p_type", "p_brand").alias("part_kind_key"),
-            *[lk.key for lk in lookups],
+            *keys, *[lk.key for lk in lookups],
             "l_orderkey", "l_linenumber", "l_suppkey", "c_custkey", "order_date", "p_type", "p_brand",
             "year", "l_quantity", "l_extendedprice", "l_discount", "medal",
             *class_counters("medal", MEDALS),

@@ -12,7 +12,7 @@ from starfold.functions.columns import digest, surrogate_key
 from starfold.operators.cleanse import dedupe_exact, dedupe_staged
 from starfold.operators.dims import build_dimension
 from starfold.operators.facts import DimLookup, resolve_keys
-from starfold.plans import pipeline_demo, warehouse
+from starfold.plans import dirty, pipeline_demo, warehouse
 from starfold.sources.bronze import write_batch
 from starfold.sources.versions import VersionedTables, totals
 from tests.conftest import SF_SMALL
@@ -90,6 +90,14 @@ def test_digest_tells_nulls_and_columns_apart(spark):
     assert df.select(one.alias("x")).distinct().count() == df.select(two.alias("x")).distinct().count() == 5
 
 
+def test_customers_meet_orders_not_lines(spark, no_broadcast):
+    T = warehouse.loader(spark, SF_SMALL)
+    plan = _plan(warehouse.q_fact_star(T))
+    assert plan.index("sha2(") < plan.index("Join")  # line keys are made after the joins
+    found = _plan(dirty.q_fact_versions(T))
+    assert found.count("hashpartitioning(customer_key") == 2  # only the versions themselves meet lines
+
+
 def test_demo_batches_share_stored_lines_and_packed_files(spark):
     out = pipeline_demo.run_two_batches(warehouse.loader(spark, SF_SMALL))
     folder = f"{os.path.dirname(out)}/in/batch_2/athlete_events.csv"
