@@ -301,12 +301,10 @@ def q_totals_by_member(T: Loader) -> DataFrame:
 
 
 def q_deduped_medal_table(T: Loader) -> DataFrame:
-    ev = line_events(T)
-    cust = T("customer").select("c_custkey", "c_nationkey")
-    ev = ev.join(cust, "c_custkey", "left")
+    ev = line_events(T, [DimLookup(T("customer"), ("c_custkey",), "c_nationkey")])
     return analytics.deduped_class_table(
         ev, ["year", "l_orderkey", "c_nationkey", "p_type", "p_brand", "medal"], ["c_nationkey"], "medal",
-        {"gold": "Gold", "silver": "Silver", "bronze": "Bronze"},
+        {"gold": "Gold", "silver": "Silver", "bronze": "Bronze"}, rows=T("lineitem").count(),
     )
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfold.functions.columns import digest, surrogate_key
+from starfold.operators.analytics import deduped_class_table
 from starfold.operators.cleanse import dedupe_exact, dedupe_staged
 from starfold.operators.dims import build_dimension
 from starfold.operators.facts import DimLookup, resolve_keys
@@ -98,6 +99,13 @@ def test_customers_meet_orders_not_lines(spark, no_broadcast):
     assert found.count("hashpartitioning(customer_key") == 2  # only the versions themselves meet lines
 
 
+def test_class_table_deals_rows_by_their_number(spark):
+    df = spark.range(3000).selectExpr("id % 3 g", "id % 500 o", "if(id % 2 = 0, 'A', null) m")
+    args = (df, ["g", "o", "m"], ["g"], "m", {"a": "A"})
+    assert sorted(deduped_class_table(*args).collect()) == sorted(deduped_class_table(*args, rows=3000).collect())
+    assert "REPARTITION_BY_NUM" in _plan(warehouse.q_deduped_medal_table(warehouse.loader(spark, SF_SMALL)))
+
+
 def test_demo_batches_share_stored_lines_and_packed_files(spark):
     out = pipeline_demo.run_two_batches(warehouse.loader(spark, SF_SMALL))
     folder = f"{os.path.dirname(out)}/in/batch_2/athlete_events.csv"
