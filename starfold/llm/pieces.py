@@ -44,7 +44,7 @@ ROUND = 4
 #: Words whose decisions are drawn together.
 PART = 1 << 18
 #: Bytes of text that are encoded together.
-SLICE = 1 << 22
+SLICE = 1 << 20
 NEVER = np.int32(1 << 30)
 
 _A, _B, _C = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
@@ -380,13 +380,13 @@ def _keys(ids: pa.Array, seed: int) -> np.ndarray:
     return T.mix(own ^ T.mix(np.array([seed], np.uint64)))
 
 
-def _encoded(batches, path: str, rate: float, seed: int) -> Iterator[tuple[pa.Array, list[str], np.ndarray, np.ndarray]]:
+def _encoded(batches, path: str, rate: float, seed: int) -> Iterator[tuple[pa.Array, list[bytes], np.ndarray, np.ndarray]]:
     for batch in batches:
-        ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+        ids = batch.column(0)
         keys = _keys(ids, seed)
-        size = [t.encode("utf-8", "surrogatepass") for t in texts]
-        for a, b in T.slices(size, SLICE):
-            yield ids[a:b], size[a:b], *model(path).encode(texts[a:b], keys[a:b], rate)
+        for a, b, texts in T.parts(batch.column(1), SLICE):
+            whole = [t.decode("utf-8", "surrogatepass") for t in texts]
+            yield ids[a:b], texts, *model(path).encode(whole, keys[a:b], rate)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

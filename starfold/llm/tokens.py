@@ -13,9 +13,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many bytes (a longer text is a slice of its own).
 SLICE_BYTES = 1 << 21
+#: Spans are hashed in parts of the buffer of about this many bytes or code points.
+HASH_PART = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15  # odd
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -33,10 +37,10 @@ _powers: dict[str, np.ndarray] = {}
 def _power(name: str, base: int, n: int) -> np.ndarray:
     have = _powers.get(name)
     if have is None or len(have) < n:
-        out = np.full(max(n, SLICE_BYTES + 4096), base, dtype=np.uint64)
+        out = np.full(max(n, HASH_PART + 4096), base, dtype=np.uint64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)
-        if n > 4 * SLICE_BYTES:  # a very long text: do not keep its table
+        if n > 4 * HASH_PART:  # a very long word: do not keep its table
             return out
         have = _powers[name] = out
     return have
@@ -53,14 +57,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def slices(texts: list[bytes], size_limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of about ``size_limit`` bytes."""
+    yield from _ranges([len(t) for t in texts], size_limit)
+
+
+def _ranges(sizes: list[int], size_limit: int) -> Iterator[tuple[int, int]]:
     begin = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > size_limit:
+    for i, n in enumerate(sizes):
+        if size and size + n > size_limit:
             yield begin, i
             begin, size = i, 0
-        size += len(t) + 1
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += n + 1
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def parts(column: pa.Array, size_limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The ranges of :func:`slices` of an Arrow column of texts, each with its texts as :func:`utf8` gives them.
+
+    Only one range's texts are held beside the column.
+    """
+    for a, b in _ranges(pc.fill_null(pc.binary_length(column), 0).to_pylist(), size_limit):
+        yield a, b, utf8(column.slice(a, b - a))
 
 
 class Words:
@@ -97,7 +114,8 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.n
     ``buf`` holds bytes, or code points as larger numbers.
     """
     out = np.empty(len(start), dtype=np.uint64)
-    cuts = np.unique(np.searchsorted(start, np.arange(0, len(buf) + SLICE_BYTES, SLICE_BYTES))).tolist()
+    step = min(HASH_PART, SLICE_BYTES)
+    cuts = np.unique(np.searchsorted(start, np.arange(0, len(buf) + step, step))).tolist()
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # spans in order, a part of the buffer at a time
         low, high = int(start[a]), int(end[a:b].max())
         part = buf[low:high]
