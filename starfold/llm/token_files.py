@@ -18,6 +18,7 @@ too, and each distinct piece is encoded once by a worker.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -38,7 +39,9 @@ END_ID = 2
 #: Tokens after which a block is closed.
 BLOCK_TOKENS = 1 << 19
 #: Bytes of text that are encoded together.
-SLICE = 1 << 22
+SLICE = 1 << 20
+#: Pieces and ids that a worker holds.
+HELD, HELD_IDS = 1 << 20, 1 << 23
 NO_ID = -(1 << 63)
 
 # --- the code ------------------------------------------------------------
@@ -127,10 +130,11 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache = SpanCache()
+        self.cache = SpanCache(HELD, HELD_IDS)
         self.bytes_of = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, dtype=np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.bytes_of[i] = len(token)  # a character for each byte
@@ -207,6 +211,18 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _encoded(batches, path: str, end_id: int | None) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+    """Document ids, flat token ids and the number of tokens of each text, a slice at a time."""
+    for batch in batches:
+        names = batch.column(0).to_pylist()
+        for a, b, texts in T.parts(batch.column(1), SLICE):
+            flat, many = encoder(path).encode(texts)
+            if end_id is not None:
+                flat = np.insert(flat, np.cumsum(many), end_id)
+                many = many + 1
+            yield names[a:b], flat, many
+
+
 # --- files ---------------------------------------------------------------
 
 
@@ -223,7 +239,6 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
-    last = [] if end_id is None else [end_id]
     folder = qualified(docs.sparkSession, folder)
 
     def write(batches):
@@ -233,25 +248,19 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         ids: list[int] = []
         sizes: list[int] = []
         held: list[np.ndarray] = []
-        for batch in batches:
-            texts, names = T.utf8(batch.column(1)), batch.column(0).to_pylist()
-            for a, b in T.slices(texts, SLICE):
-                flat, many = encoder(tokenizer).encode(texts[a:b])
-                if last:
-                    flat = np.insert(flat, np.cumsum(many), last[0])
-                    many = many + 1
-                if out is None:
-                    uri, out = new_file(folder, f"tokens-{number:06d}", ".rvb")
-                for name, n, part in zip(names[a:b], many.tolist(), np.split(flat, np.cumsum(many)[:-1]), strict=True):
-                    ids.append(NO_ID if name is None else name)
-                    sizes.append(n)
-                    held.append(part)
-                    pending += n
-                    if pending >= BLOCK_TOKENS:
-                        written += write_block(out, ids, sizes, np.concatenate(held))
-                        ids, sizes, held, pending = [], [], [], 0
-                docs += b - a
-                tokens += len(flat)
+        for names, flat, many in _encoded(batches, tokenizer, end_id):
+            if out is None:
+                uri, out = new_file(folder, f"tokens-{number:06d}", ".rvb")
+            for name, n, part in zip(names, many.tolist(), np.split(flat, np.cumsum(many)[:-1]), strict=True):
+                ids.append(NO_ID if name is None else name)
+                sizes.append(n)
+                held.append(part)
+                pending += n
+                if pending >= BLOCK_TOKENS:
+                    written += write_block(out, ids, sizes, np.concatenate(held))
+                    ids, sizes, held, pending = [], [], [], 0
+            docs += len(names)
+            tokens += len(flat)
         if out is not None:
             if ids:
                 written += write_block(out, ids, sizes, np.concatenate(held))

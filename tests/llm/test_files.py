@@ -4,14 +4,17 @@ import datetime as dt
 import gzip
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from starfold.llm import pieces, token_files, url_filter, warc
 from starfold.llm.files import read_file
+from starfold.llm.spans import SpanCache, gather
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -265,3 +268,56 @@ def test_list_join_of_empty_tables(spark):
     assert [r["blocked"] for r in url_filter.list_join(c, e.limit(0)).collect()] == [False]
     assert url_filter.list_join(c.limit(0), e).count() == 0
     assert [r["blocked"] for r in url_filter.list_join(c, e).collect()] == [True]
+
+
+# --- memory of a worker -----------------------------------------------------
+
+
+def peak_mb(run) -> float:
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def distinct_words(n: int) -> list[str]:
+    return [" ".join(f"{x:x}" for x in range(i, i + 1000)) for i in range(1 << 20, (1 << 20) + 1000 * n, 1000)]
+
+
+@pytest.mark.parametrize("encoded", [lambda b: token_files._encoded(b, BPE, 2), lambda b: pieces._encoded(b, MODEL, 0.1, 7)])
+def test_a_batch_is_encoded_in_small_parts(encoded):
+    """16 MB of text in one batch; all of it at hand as bytes and strings would be 32 MB, a slice's arrays far more."""
+    list(encoded([pa.record_batch([pa.array([1]), pa.array(["warm up"])], names=["id", "text"])]))
+    texts = [t.replace("1", "the ") for t in distinct_words(10)] * 140
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    assert batch.column(1).nbytes > 14e6
+    assert peak_mb(lambda: [None for _ in encoded([batch])]) < 100
+
+
+def test_kept_spans_are_bounded_and_those_asked_for_again_stay():
+    cache = SpanCache(limit=1000, ids=5000)
+    asked = 0
+
+    def encode(at):
+        nonlocal asked
+        asked += (keys[at] < 10).sum()
+        return np.repeat(keys[at], 3).astype(np.int64), np.full(len(at), 3)
+
+    for i in range(50):
+        keys = np.concatenate([np.arange(10), np.arange(100) + 100 * (i + 1)]).astype(np.uint64)
+        flat, begin, size = cache.sequences(keys, encode)
+        assert (gather(flat, begin, size) == np.repeat(keys, 3)).all()
+        assert len(cache.keys) <= 1000 and len(cache.flat) <= 5000 + 3 * len(keys)
+        assert len(cache.keys) == len(cache.again) == len(cache.begin) == len(cache.size)
+    assert asked == 10  # the common ones were encoded once
+
+
+def test_kept_spans_are_bounded_in_ids():
+    cache = SpanCache(limit=1000, ids=5000)
+    for i in range(20):
+        keys = np.array([i, i + 1], dtype=np.uint64)
+        flat, begin, size = cache.sequences(keys, lambda at: (np.repeat(keys[at], 2000).astype(np.int64), np.full(len(at), 2000)))
+        assert (gather(flat, begin, size) == np.repeat(keys, 2000)).all()
+        assert len(cache.flat) <= 5000 + 2 * 2000
