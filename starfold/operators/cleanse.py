@@ -27,16 +27,18 @@ def dedupe_exact(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
-def dedupe_staged(df: DataFrame) -> DataFrame:
+def dedupe_staged(df: DataFrame, telling: Sequence[str] | None = None) -> DataFrame:
     """Exact duplicates over all columns removed, where most rows have none.
 
-    Only rows' 64-bit hashes are shuffled to find those that occur more than
+    ``telling`` names columns in which rows that differ nearly always differ
+    (unless given, all); only these are hashed, so that looking for copies
+    reads no others. Only rows' 64-bit hashes are shuffled to find those that occur more than
     once; they are stored, so that the planner knows their size. All other
     rows are distinct and stay where they are; rows of such a hash are
     compared by their columns (equal hashes alone drop nothing). With very
     many duplicates the planner shuffles the rows by hash, too.
     """
-    h = F.xxhash64(*df.columns)
+    h = F.xxhash64(*(telling or df.columns))
     twice = df.groupBy(h.alias("_hash")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
     twice = stored(twice, "repeated-hashes")
     same = h == twice["_hash"]

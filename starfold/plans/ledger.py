@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starfold.functions.columns import exact_sum
+
 TABLE = "ledger"
 SCHEMA = "version long, batch_date date, layer string, source string, rows long, sum decimal(38,0)"
 
@@ -21,9 +23,10 @@ SCHEMA = "version long, batch_date date, layer string, source string, rows long,
 def counted(df: DataFrame, columns: Sequence[str], when: Sequence[Column] | None = None) -> list[tuple[int, int]]:
     """For each condition: number of rows that meet it, and the sum of the hashes of their ``columns``; one scan."""
     when = when or [F.lit(True)]
-    h = F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(20,0)")
-    aggs = [a for i, w in enumerate(when) for a in (F.count_if(w).alias(f"n{i}"), F.sum(F.when(w, h)).alias(f"s{i}"))]
-    r = df.agg(*aggs).first()
+    met = [w.alias(f"w{i}") for i, w in enumerate(when)]
+    hashed = df.select(F.xxhash64(*[F.col(c) for c in columns]).alias("h"), *met)
+    sums = [exact_sum(F.when(F.col(f"w{i}"), F.col("h"))).alias(f"s{i}") for i in range(len(met))]
+    r = hashed.agg(*[F.count_if(F.col(f"w{i}")).alias(f"n{i}") for i in range(len(met))], *sums).first()
     return [(r[f"n{i}"], int(r[f"s{i}"] or 0)) for i in range(len(when))]
 
 

@@ -36,6 +36,7 @@ from starfold.operators.mapping import ambiguous_mappings, apply_mapping, clean_
 from starfold.operators.scd2 import Scd2Spec, scd2_init, scd2_merge
 from starfold.plans import ledger
 from starfold.plans.totals import maintained
+from starfold.session import small_reads
 from starfold.sources.bronze import CORRUPT_COL, all_string_schema, read_batch, read_raw_csv, split_corrupt, stamp_batch, write_batch
 from starfold.sources.versions import ALL, Parts, VersionedTables, part_key, totals
 
@@ -77,6 +78,8 @@ MEDALS = {"gold_count": "Gold", "silver_count": "Silver", "bronze_count": "Bronz
 NOC_SPEC = Scd2Spec(
     business_key=("noc_code",), attributes=("region", "notes"), tracked=("region",), key_name="noc_key"
 )
+#: Columns that tell participations apart: the grain and the measures.
+EVENT_TELLING = ["athlete_id", "games_name", "event_name", "age", "height_cm", "weight_kg"]
 #: Parts of the Type 2 dimension.
 CURRENT, CLOSED = part_key("boolean", True), part_key("boolean", False)
 META = ["_ingested_at", "_source_filename", "_batch_date"]
@@ -173,7 +176,7 @@ def transform_events(bronze_events: DataFrame, mapping: DataFrame, on_malformed:
     """Typed, standardised, de-duplicated events with canonical codes and the
     grain hash ``source_record_hash``."""
     typed = clean_columns(bronze_events, EVENT_SPEC, on_malformed, keep=META)
-    kept = dedupe_staged(require_not_null(typed, ["athlete_id", "games_name", "event_name"]))
+    kept = dedupe_staged(require_not_null(typed, ["athlete_id", "games_name", "event_name"]), EVENT_TELLING)
     mapped = map_codes(kept, mapping, EVENT_SYSTEM)
     return add_record_hash(
         mapped, ["athlete_id", "games_name", "event_name", "team", "noc_code"], "source_record_hash"
@@ -290,8 +293,9 @@ def run_batch(spark: SparkSession, input_path: str, reference_path: str, output_
         raise ValueError(f"batch_mode must be 'snapshot' or 'incremental', got {batch_mode!r}")
     out = Layout(output_path.rstrip("/"))
     report = BatchReport(batch_date)
-    report.bronze_rows = ingest_bronze(spark, input_path, reference_path, out, batch_date)
-    events, ref = build_silver(spark, out, batch_date, report, on_malformed)
+    with small_reads(spark):
+        report.bronze_rows = ingest_bronze(spark, input_path, reference_path, out, batch_date)
+        events, ref = build_silver(spark, out, batch_date, report, on_malformed)
     report.gate_counts.update(Q.enforce([
         Q.reference_coverage(events, ref, "noc_code", table="silver_athlete_events"),
         Q.null_keys(events, ["athlete_id"], "silver_athlete_events", blank=True),
@@ -335,13 +339,19 @@ def run_batch(spark: SparkSession, input_path: str, reference_path: str, output_
         again = _rewritten(store.tables.get(name, {}), staged[name])
         if again:
             gates.append(Q.orphan_keys(store.frame(again), dims[name], key, table=f"earlier {name}"))
-    report.gate_counts.update(Q.enforce(gates))
     short = fact.select(*[c.alias(name) for c, name in zip(digest("participation_key"), ("key_1", "key_2"), strict=True)])
-    report.repeated_keys = Q.duplicate_keys(short, ["key_1", "key_2"], "fact_participation").violations.count()
-    staged[TOTALS] = maintained(store, staged["fact_participation"], TOTALS, TOTALS_KEYS, COUNTERS)
+    # Nothing here depends on another: gates, report, totals and ledger look at staged files.
+    passed, report.repeated_keys, staged[TOTALS], counted, layers = together(lambda look: look(), [
+        lambda: Q.enforce(gates),
+        lambda: Q.duplicate_keys(short, ["key_1", "key_2"], "fact_participation").violations.count(),
+        lambda: maintained(store, staged["fact_participation"], TOTALS, TOTALS_KEYS, COUNTERS),
+        lambda: ledger.counted(fact, ["participation_key"])[0],
+        lambda: layer_lines(spark, out, batch_date, report),
+    ])
+    report.gate_counts.update(passed)
     stored = [v for v in totals(staged["fact_participation"]).values()]
-    lines = [*layer_lines(spark, out, batch_date, report),
-             ("fact", "fact_participation", *ledger.counted(fact, ["participation_key"])[0]),
+    lines = [*layers,
+             ("fact", "fact_participation", *counted),
              ("stored", "fact_participation", sum(n for n, _ in stored), sum(h for _, h in stored))]
     told = [(store.number + 1, date.fromisoformat(batch_date), layer, source, rows, Decimal(total)) for layer, source, rows, total in lines]
     told = spark.createDataFrame(told, ledger.SCHEMA).coalesce(1)

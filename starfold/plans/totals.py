@@ -31,10 +31,12 @@ def maintained(store: VersionedTables, fact: Parts, table: str, keys: Sequence[s
     new = [p for key, p in pieces.items() if key not in earlier]
     out = {key: earlier[key] for key in pieces if key in earlier}
     if new:
-        frames = [store.frame({"one": [p]}).withColumn(PIECE, F.lit(p["path"])) for p in new]
+        # Rows are grouped by a piece's number, which is put back to its path in the few rows of sums.
+        frames = [store.frame({"one": [p]}).withColumn(PIECE, F.lit(i)) for i, p in enumerate(new)]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         sums = rows.groupBy(PIECE, *keys).agg(*[F.sum(c).alias(c) for c in counters])
-        out |= store.stage_by(sums, table, PIECE)
+        path = F.array(*[F.lit(p["path"]) for p in new])[F.col(PIECE)]
+        out |= store.stage_by(sums.withColumn(PIECE, path), table, PIECE)
     return out
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +23,9 @@ SESSION_CONF = {
 }
 
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+READ_SIZE = "spark.sql.files.maxPartitionBytes"
+#: Most bytes of packed rows that a task of :func:`small_reads` takes.
+PACKED_BYTES = 32 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "starfold",
@@ -65,6 +70,26 @@ def open_writers(spark: SparkSession, number: int = 64) -> None:
         spark.conf.set(WRITERS, str(number))
 
 
+@contextmanager
+def small_reads(spark: SparkSession) -> Iterator[None]:
+    """Within it, a task reads at most ``PACKED_BYTES`` of files, or fewer if the session says so.
+
+    Raw rows pack to few bytes and take much work: at the usual 128 MB a batch
+    of 200 million of them is a few tasks more than a small cluster has cores,
+    which idle while the last ones run, and a task holds the hashes and open
+    files of millions of rows at once.
+    """
+    earlier = spark.conf.get(READ_SIZE)
+    if spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() <= PACKED_BYTES:
+        yield
+        return
+    spark.conf.set(READ_SIZE, str(PACKED_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(READ_SIZE, earlier)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point ``SparkContext.setCheckpointDir`` at the shared folder."""
     root = checkpoint_root(spark)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from starfold.functions.columns import digest
+from starfold.functions.columns import digest, exact_sum
 from starfold.session import open_writers
 from starfold.sources.tables import stored
 
@@ -59,8 +59,13 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns) if not c.startswith("_part_")])
 
 
-def _sums(df: DataFrame) -> list[Column]:
-    return [F.count(F.lit(1)).alias("rows"), F.sum(row_hash(df).cast("decimal(20,0)")).alias("sum")]
+def _hashed(df: DataFrame) -> DataFrame:
+    """Rows with their hash, for :func:`_sums`."""
+    return df.withColumn("_row_hash", row_hash(df))
+
+
+def _sums() -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), exact_sum("_row_hash").alias("sum")]
 
 
 def totals(parts: Parts) -> dict[str, Totals]:
@@ -157,7 +162,7 @@ class VersionedTables:
         path = f"{self.staging}/{table}/all-{uuid.uuid4().hex[:8]}"
         df.write.option("compression", "zstd").parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        found = back.agg(*_sums(back), *_extremes(ranges)).first()
+        found = _hashed(back).agg(*_sums(), *_extremes(ranges)).first()
         return {part: [self._piece(path, df, found, ranges)]}
 
     def stage_by(self, df: DataFrame, table: str, column: str | Column, kind: str | None = None,
@@ -174,7 +179,7 @@ class VersionedTables:
         open_writers(self.spark)
         df.withColumn("_part_", name).write.option("compression", "zstd").partitionBy("_part_").parquet(path)
         back = self.spark.read.schema(StructType([*df.schema, StructField("_part_", StringType())])).parquet(path)
-        found = {r["_part_"]: r for r in back.groupBy("_part_").agg(*_sums(back), *_extremes(ranges)).collect()}
+        found = {r["_part_"]: r for r in _hashed(back).groupBy("_part_").agg(*_sums(), *_extremes(ranges)).collect()}
         out: Parts = {}
         for s in self._listed(path):
             folder = s.getPath().getName()
@@ -206,7 +211,7 @@ class VersionedTables:
             mine = self.frame(new).select(*short).distinct()
             narrow = earlier.select(*short, value.alias("part"), row_hash(earlier).alias("hash"))
             lost = stored(narrow.join(mine, ["_k1", "_k2"], "left_semi"), f"replaced-{table}")
-            gone = lost.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("hash").cast("decimal(20,0)")).alias("sum"))
+            gone = lost.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), exact_sum("hash").alias("sum"))
             gone = {json.dumps([kind, r["part"]]): (r["rows"], int(r["sum"])) for r in gone.collect()}
             hit = list(gone)
             if hit:
@@ -237,7 +242,7 @@ class VersionedTables:
         """Read a published table and compare its rows with what is recorded; :class:`LostRows` if they differ."""
         for key, want in totals(self.tables.get(table, {})).items():
             df = self.frame(self.tables[table], [key])
-            got = (0, 0) if df is None else df.agg(*_sums(df)).first()
+            got = (0, 0) if df is None else _hashed(df).agg(*_sums()).first()
             if (got[0], int(got[1] or 0)) != want:
                 raise LostRows(f"{table} {key}: {want[0]} rows recorded, {got[0]} found")
 

@@ -8,12 +8,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from starfold.functions.columns import digest, surrogate_key
+from starfold import session
+from starfold.functions.columns import digest, exact_sum, surrogate_key
 from starfold.operators.analytics import deduped_class_table
 from starfold.operators.cleanse import dedupe_exact, dedupe_staged
 from starfold.operators.dims import build_dimension
 from starfold.operators.facts import DimLookup, resolve_keys
-from starfold.plans import dirty, pipeline_demo, warehouse
+from starfold.plans import dirty, ledger, pipeline, pipeline_demo, warehouse
 from starfold.sources.bronze import write_batch
 from starfold.sources.versions import VersionedTables, totals
 from tests.conftest import SF_SMALL
@@ -51,6 +52,65 @@ def test_dedupe_staged_when_all_rows_come_twice(spark, no_broadcast):
     assert sorted(out) == sorted(df.collect())
 
 
+def test_dedupe_staged_looks_for_copies_by_telling_columns_only(spark):
+    rows = [(1, "a", 1), (1, "a", 1), (1, "b", 1), (1, None, 1), (1, None, 1), (2, "c", 2), (None, "d", 3), (3, None, None), (3, None, None)]
+    df = spark.createDataFrame(rows, "k int, t string, v int")
+    out = dedupe_staged(df, ["k", "v"])  # rows alike in these are compared by all columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, dedupe_exact(df).collect()))
+    # A column beside them is not even made for rows that occur once.
+    costly = df.where("k = 2").withColumn("t", F.when(F.col("k") == 2, F.raise_error(F.lit("made"))).otherwise(F.col("t")))
+    assert dedupe_staged(costly, ["k", "v"]).select("k").collect() == [(2,)]
+
+
+def test_sums_of_hashes_are_exact(spark):
+    low, high = -(1 << 63), (1 << 63) - 1
+    for rows in ([low] * 5, [high] * 7, [low, high, -1, 0, 1, (1 << 42) - 1, -(1 << 21), None], [None], []):
+        df = spark.createDataFrame([(x,) for x in rows], "h long")
+        there = [x for x in rows if x is not None]
+        found = df.agg(exact_sum("h")).first()[0]
+        assert found == (sum(there) if there else None)
+    df = spark.range(1000).selectExpr("id", "cast(id as string) t", "id % 3 = 0 as third")
+    h = F.xxhash64("id", "t").cast("decimal(20,0)")
+    want = df.agg(F.count(F.lit(1)), F.sum(h), F.count_if("third"), F.sum(F.when(F.col("third"), h))).first()
+    assert ledger.counted(df, ["id", "t"], [F.lit(True), F.col("third")]) == [(want[0], int(want[1])), (want[2], int(want[3]))]
+
+
+def test_packed_rows_are_read_by_more_tasks(spark, workdir, monkeypatch):
+    spark.range(0, 480, 1, 48).write.parquet(f"{workdir}/t")
+    tasks = lambda: spark.read.parquet(f"{workdir}/t").rdd.getNumPartitions()
+    before, plain = spark.conf.get(session.READ_SIZE), tasks()
+    monkeypatch.setattr(session, "PACKED_BYTES", 1 << 20)
+    with session.small_reads(spark):
+        assert plain < tasks() == 48
+    assert spark.conf.get(session.READ_SIZE) == before
+    spark.conf.set(session.READ_SIZE, "4096")  # what the session says is smaller: it stays
+    try:
+        with session.small_reads(spark):
+            assert spark.conf.get(session.READ_SIZE) == "4096"
+    finally:
+        spark.conf.set(session.READ_SIZE, before)
+
+
+def test_a_batch_reads_its_packed_input_so(spark, monkeypatch):
+    seen = []
+    for name in ("ingest_bronze", "build_silver"):
+        def spy(s, *rest, real=getattr(pipeline, name)):
+            seen.append(int(s.conf.get(session.READ_SIZE)))
+            return real(s, *rest)
+        monkeypatch.setattr(pipeline, name, spy)
+    before = spark.conf.get(session.READ_SIZE)
+    out = pipeline_demo.run_two_batches(warehouse.loader(spark, SF_SMALL))
+    assert seen == [session.PACKED_BYTES] * 4 and spark.conf.get(session.READ_SIZE) == before
+    # The second batch holds all lines, those of the first moved, not written again.
+    layout = pipeline.Layout(out)
+    first, second = (pipeline.read_batch(spark, layout.bronze("athlete_events"), d).select(pipeline.EVENT_COLUMNS)
+                     for d in (pipeline_demo.BATCH_1_DATE, pipeline_demo.BATCH_2_DATE))
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert 0 < first.count() < second.count() == lines and first.exceptAll(second).count() == 0
+    folders = [f"{out.removesuffix('/out')}/in/batch_{i}/athlete_events.csv/part-*" for i in (1, 2)]
+    assert not glob.glob(folders[0].removeprefix("file:")) and glob.glob(folders[1].removeprefix("file:"))
+
+
 def test_hashed_lookup_is_that_of_a_join(spark, no_broadcast):
     events = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (None, "x"), (9, "z"), (9, "z")], "m int, t string")
     dim = build_dimension(events.where("m < 9"), ["m"], [], "m_key")
